@@ -1,0 +1 @@
+"""Empty on purpose: every source of this warehouse is bounded, so there is no streaming job."""
