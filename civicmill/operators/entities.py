@@ -6,17 +6,19 @@ from civicmill.operators.lookup import single_valued
 from civicmill.operators.sizes import small_side
 
 MIN_SALIENCE = 0.001
+LITERAL_WORDS = 2_000
 SENTENCE_END = r"[.!?\n]+"
 BETWEEN_WORDS = r"[^\p{L}\p{N}']+"
 
 
 def word_runs(words, longest):
-    """All runs of one to ``longest`` neighbouring words, joined by spaces."""
-    runs = words
+    """All runs of one to ``longest`` neighbouring words, joined by spaces; pairs that would
+    reach past the end are null."""
+    runs = grown = words
     for size in range(2, longest + 1):
-        starts = F.sequence(F.lit(1), F.size(words) - (size - 1))
-        joined = F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
-        runs = F.concat(runs, F.when(F.size(words) >= size, joined).otherwise(F.array().cast("array<string>")))
+        following = F.slice(words, size, F.size(words))
+        grown = F.zip_with(grown, following, lambda run, word: F.concat(run, F.lit(" "), word))
+        runs = F.concat(runs, grown)
     return runs
 
 
@@ -37,8 +39,14 @@ def score_entities(articles, gazetteer, lexicon, key, text="text", longest=1, mi
     known = names.join(terms, "word", "full")
 
     sentences = articles.where(F.length(text) > 0).select(key, F.posexplode(F.split(F.lower(text), SENTENCE_END)).alias("sentence", "line"))
-    words = F.filter(F.split("line", BETWEEN_WORDS), lambda w: w != "")
-    found = sentences.select(key, "sentence", F.explode(word_runs(words, longest)).alias("word"))
+    # Splitting between words leaves empty strings at the ends of a line only; they match nothing.
+    words = sentences.select(key, "sentence", F.split("line", BETWEEN_WORDS).alias("words"))
+    runs = word_runs(F.col("words"), longest)
+    listed = [row["word"] for row in known.select("word").limit(LITERAL_WORDS + 1).collect()]
+    if 0 < len(listed) <= LITERAL_WORDS:
+        # A short vocabulary is a hash set of the plan: other words are not even unpacked.
+        runs = F.filter(runs, lambda run: run.isin(listed))
+    found = words.select(key, "sentence", F.explode(runs).alias("word"))
     found = found.join(small_side(known), "word").select(key, "sentence", "name", "wikipedia_url", "polarity")
 
     by_article = found.repartition(F.col(key))

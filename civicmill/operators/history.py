@@ -14,7 +14,8 @@ def _recent_codes(codes, as_of):
     """(Election, primary): codes with a date in the window, one row per code."""
     known = single_valued(codes, ["Election"], ["Date", "Type"])
     primary = F.coalesce(F.contains(F.col("Type"), F.lit("Primary")), F.lit(False))
-    return known.where(is_recent(F.col("Date"), as_of)).select("Election", primary.alias("primary"))
+    listed = (F.col("Election") != "") & is_recent(F.col("Date"), as_of)
+    return known.where(listed).select("Election", primary.alias("primary"))
 
 
 def _with_flags(df):
@@ -50,7 +51,7 @@ def count_history_by_join(df, codes, as_of, history="VoterHistory"):
 
     Each distinct history is counted once and joined back, so copies cost nothing.
     """
-    recent = _recent_codes(codes, as_of).where(F.col("Election") != "")
+    recent = _recent_codes(codes, as_of)
     distinct = df.select(F.col(history).alias("__history")).where(F.col(history) != "").distinct()
     tokens = distinct.select("__history", F.explode(F.split("__history", ";")).alias("token"))
     counted = (

@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from civicmill.operators.sizes import small_side, spread
+from civicmill.operators.sizes import hot_keys, small_side, spread
 
 
 def merge_records(sides, key):
@@ -52,27 +52,45 @@ def nest_many(df, many, on, take, into, limit=NEST_LIMIT):
 
     An array holds about ``limit`` elements at most.  A row with more matches continues on
     further rows with the same other columns, so no task ever collects an unbounded group.
-    Copies are counted before the shuffle and written out again inside the array.
     """
     keys = list(on.values())
-    side = many.select(*keys, F.struct(*[F.col(s).alias(t) for t, s in take.items()]).alias("item"))
-    counted = side.groupBy(*keys, "item").agg(F.count("*").alias("copies"))
-    runs = F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / limit))
-    runs = counted.withColumn("run", F.explode(runs))
-    copies = F.least(F.lit(limit), F.col("copies") - F.col("run") * limit).cast("int")
-    runs = runs.select(*keys, "item", "run", copies.alias("copies"))
-    parts = spread_copies(runs, keys, limit)
-    arrays = parts.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(F.struct("item", "copies"))).alias("all"))
-    flat = F.flatten(F.transform("all", lambda x: F.array_repeat(x["item"], x["copies"])))
-    arrays = arrays.select(*[F.col(k).alias(f"__{k}") for k in keys], flat.alias(into))
+    item = F.struct(*[F.col(source).alias(target) for target, source in take.items()])
+    side = many.select(*keys, item.alias("item"))
+    hot = hot_keys(side, keys, limit).drop("parts")
+    arrays = _arrays(side, keys)
+    if not hot.isEmpty():
+        crowded = small_side(hot)
+        arrays = _arrays(side.join(crowded, keys, "left_anti"), keys).unionByName(
+            _arrays_in_parts(side.join(crowded, keys, "left_semi"), keys, limit)
+        )
+    arrays = arrays.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("items").alias(into))
     condition = reduce(lambda a, b: a & b, [df[left] == arrays[f"__{right}"] for left, right in on.items()])
     joined = df.join(arrays, condition, "left").drop(*[f"__{k}" for k in keys])
     empty = F.array(F.struct(*[F.lit(None).cast(side.schema["item"].dataType[t].dataType).alias(t) for t in take]))
     return joined.withColumn(into, F.coalesce(F.col(into), empty))
 
 
-def spread_copies(runs, keys, limit):
-    """Parts for counted rows: a row that stands for a full array fills a part alone."""
-    full = runs.where(F.col("copies") >= limit)
-    rest = spread(runs.where(F.col("copies") < limit), keys, limit, weight="copies")
-    return rest.unionByName(full.withColumn("part", -1 - F.abs(F.xxhash64("item", "run") % (1 << 62))))
+def _arrays(side, keys):
+    return side.groupBy(*keys).agg(F.sort_array(F.collect_list("item")).alias("items"))
+
+
+def _arrays_in_parts(side, keys, limit):
+    """Arrays of crowded keys, several per key.
+
+    Copies are counted before the shuffle and written out again inside an array.  An item
+    with many copies is cut into runs of ``limit``, each an array of its own.
+    """
+    counted = side.groupBy(*keys, "item").agg(F.count("*").alias("copies"))
+    cut = counted.withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / limit))))
+    copies = F.least(F.lit(limit), F.col("copies") - F.col("run") * limit).cast("int")
+    runs = cut.select(*keys, "item", "run", copies.alias("copies"))
+    alone = runs.where(F.col("copies") >= limit).withColumn("part", -1 - F.col("run"))
+    shared = spread(runs.where(F.col("copies") < limit), keys, limit, weight="copies")
+    parts = alone.withColumn("own", F.col("item")).unionByName(
+        shared.withColumn("own", F.lit(None).cast(side.schema["item"].dataType))
+    )
+    pairs = F.sort_array(F.collect_list(F.struct("item", "copies")))
+    packed = parts.groupBy(*keys, "part", "own").agg(pairs.alias("pairs"))
+    return packed.select(
+        *keys, F.flatten(F.transform("pairs", lambda p: F.array_repeat(p["item"], p["copies"]))).alias("items")
+    )

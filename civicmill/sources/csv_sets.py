@@ -41,6 +41,11 @@ def read_encoded_lines(spark, path, encoding="ISO-8859-1"):
     )
 
 
+def file_path():
+    """Path of the file a row comes from; Spark gives it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def select_files(files, excluded=(), path="path"):
     """Keep CSV files whose path does not name an excluded file."""
     keep = F.contains(F.col(path), F.lit(".csv"))
@@ -65,7 +70,7 @@ def discover_headers(spark, path, excluded=()):
     so this is one narrow pass that moves one line per file.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(path).select(
-        F.col("_metadata.file_path").alias("path"),
+        file_path().alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
         "value",
     )
@@ -106,7 +111,7 @@ def read_header_groups(spark, path, schema, aliases=None, excluded=(), filename=
     their input on the driver anyway; rows never pass through it.
     """
     groups = {}
-    for row in discover_headers(spark, path, excluded).toLocalIterator():
+    for row in discover_headers(spark, path, excluded).collect():
         groups.setdefault(row["header"], []).append(row["path"])
     if not groups:
         fields = [T.StructField(f.name, T.StringType()) for f in schema.fields]
@@ -122,7 +127,7 @@ def read_header_groups(spark, path, schema, aliases=None, excluded=(), filename=
         parts.append(
             rows.select(
                 *[F.col(f"`{source}`").alias(target) for source, target in wanted],
-                F.col("_metadata.file_path").alias(filename),
+                file_path().alias(filename),
             )
         )
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

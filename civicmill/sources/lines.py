@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from civicmill.functions.casts import strip, text, to_long
 
 FIELD_LIMIT = 131072  # a longer field makes the line unreadable
+MAX_FIELDS = str(1 << 20)  # of a line; those beyond the schema are ignored
 OVERLONG = r'"[^"]{%d,}|[^,"]{%d,}' % (FIELD_LIMIT + 1, FIELD_LIMIT + 1)
 
 
@@ -28,7 +29,7 @@ def parse_delimited(lines, schema, value="value"):
     overlong = F.length(line) > FIELD_LIMIT
     readable = ~F.contains(line, F.lit("\0")) & ~F.when(overlong, line.rlike(OVERLONG)).otherwise(False)
     parsed = lines.where(readable).select(
-        F.from_csv(line, fields, {"escape": '"'}).alias("cells"),
+        F.from_csv(line, fields, {"escape": '"', "maxColumns": MAX_FIELDS}).alias("cells"),
         F.when(line == "", 0).otherwise(n_commas + 1).alias("n"),
     )
     columns = []

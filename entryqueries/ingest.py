@@ -12,7 +12,7 @@ from civicmill.session import scratch_path
 from civicmill.sources.csv_sets import read_csv_set, read_header_groups
 from civicmill.sources.html_tables import html_table_rows
 from civicmill.sources.lines import packed_cell, packed_cells, parse_delimited, parse_fixed_width, parse_ranges
-from entryqueries.tables import cents, every, read
+from entryqueries.tables import cents, every, landed_lines, read
 
 c, lit = F.col, F.lit
 ROWS_PER_FILE = 100_000
@@ -30,7 +30,7 @@ def delimited_parse(spark, sf_dir):
         (schemas.LONG, "custkey"), (schemas.STRING, "name"), (schemas.LONG, "nation"),
         (schemas.STRING, "segment"), (schemas.LONG, "cents"),
     )
-    return parse_delimited(rows.select(line.alias("value")), schema)
+    return parse_delimited(landed_lines(rows, line, "delimited"), schema)
 
 
 DELIMITED_PARSE = """
@@ -55,7 +55,7 @@ def fixed_width_parse(spark, sf_dir):
         ("status", 44, 47, schemas.STRING),
         ("beyond", 60, 70, schemas.STRING),
     ]
-    return parse_fixed_width(rows.select(line.alias("value")), layout)
+    return parse_fixed_width(landed_lines(rows, line, "fixed"), layout)
 
 
 FIXED_WIDTH_PARSE = """
@@ -72,7 +72,7 @@ def packed_ranges(spark, sf_dir):
         c("l_quantity").cast("long"), cents("l_extendedprice"), cents("l_discount"), cents("l_tax"),
     ]
     line = F.concat_ws(",", *[x.cast("string") for x in cells])
-    packed = parse_ranges(rows.select(line.alias("value")), 4, {"keys": (5, 7), "amounts": (7, 11)})
+    packed = parse_ranges(landed_lines(rows, line, "wide"), 4, {"keys": (5, 7), "amounts": (7, 11)})
     total = F.aggregate(packed_cells(c("amounts")), lit(0).cast("long"), lambda a, x: a + x)
     return packed.select(
         "LOGRECNO", "keys", "amounts",

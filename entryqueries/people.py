@@ -8,7 +8,7 @@ from civicmill import schemas
 from civicmill.functions import people as fn
 from civicmill.operators.history import count_history
 from civicmill.plans.voter import count_voters, format_voters, parse_voters
-from entryqueries.tables import cents, every, read
+from entryqueries.tables import every, landed_lines, read
 
 c, lit = F.col, F.lit
 AS_OF = date(1999, 6, 15)
@@ -240,7 +240,7 @@ def voter_counts(spark, sf_dir):
         "ENROLLMENT": F.concat(lit('"'), c("l_returnflag"), lit(' "')), "STATUS": c("l_linestatus"),
     }
     line = F.concat_ws(",", *[cell.get(n, lit("")).cast("string") for n in schemas.VOTER_RAW.names])
-    return count_voters(parse_voters(rows.select(line.alias("value"))), county_names(spark, sf_dir))
+    return count_voters(parse_voters(landed_lines(rows, line, "voters")), county_names(spark, sf_dir))
 
 
 VOTER_COUNTS = CONDITIONAL_COUNTS.replace("CASE WHEN l_returnflag <> 'R' THEN l_returnflag END", "l_returnflag")

@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from civicmill.session import scratch_path
+from civicmill.sources.lines import read_lines
+
 
 def read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -14,3 +17,10 @@ def every(col, n):
 
 def cents(col):
     return F.round(F.col(col) * 100).cast("long")
+
+
+def landed_lines(rows, line, label):
+    """Write a line per row as text files and read them as a landed file would be."""
+    path = scratch_path(rows.sparkSession, label)
+    rows.select(line.alias("value")).write.text(path)
+    return read_lines(rows.sparkSession, path)

@@ -16,6 +16,7 @@ def local_session():
         **{
             "spark.master": "local[8]",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": 8,
             "spark.driver.memory": "8g",
             "spark.sql.warehouse.dir": f"{scratch}/warehouse",
