@@ -19,14 +19,15 @@ KEYWORDS = [
 def with_page_text(items, pages):
     """Add the visible text of the page each item links to; null where it has not landed.
 
-    Pages are cleaned after the join, so only linked ones are.  Of pages landed twice under
-    one address the greatest counts.
+    Only linked pages are cleaned, each once however many items link to it.  Of pages landed
+    twice under one address the greatest counts.
     """
     landed = pages.select(F.col("url").alias("__url"), F.col("html").alias("__html"))
     linked = landed.join(items.select(F.col("link").alias("__url")), "__url", "left_semi")
     single = linked.groupBy("__url").agg(F.max("__html").alias("__html"))
-    joined = items.join(single, items["link"] == single["__url"], "left")
-    return joined.select(*[items[c] for c in items.columns], visible_text(F.col("__html")).alias("text"))
+    cleaned = single.select("__url", visible_text(F.col("__html")).alias("text"))
+    joined = items.join(cleaned, items["link"] == cleaned["__url"], "left")
+    return joined.select(*[items[c] for c in items.columns], "text")
 
 
 def articles(feeds, pages):

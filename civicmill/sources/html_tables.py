@@ -1,6 +1,7 @@
 """Rows of the largest table of a landed page."""
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -15,71 +16,84 @@ ROWS = T.StructType(
 )
 
 
-class _Tables(HTMLParser):
-    """Collects, per table, its headings and rows; a nested table also counts for the outer one."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.tables, self.open = [], []
-
-    def _close(self, *names):
-        """Close the innermost open cell or row of the current table."""
-        while self.open and self.open[-1][0] in names:
-            self.open.pop()
-
-    def _all(self, name):
-        return [item for kind, item in self.open if kind == name]
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "table":
-            table = {"headings": [], "rows": []}
-            self.tables.append(table)
-            self.open.append((tag, table))
-        elif tag == "tr":
-            self._close("td", "th", "tr")
-            row = []
-            for table in self._all("table"):
-                table["rows"].append(row)
-            self.open.append((tag, row))
-        elif tag in ("td", "th"):
-            self._close("td", "th")
-            cell = {"texts": [], "button": None, "empty": True}
-            for row in self._all("tr") if tag == "td" else []:
-                row.append(cell)
-            for table in self._all("table") if tag == "th" else []:
-                table["headings"].append(cell)
-            self.open.append((tag, cell))
-        elif self.open and self.open[-1][0] == "td":
-            cell, attrs = self.open[-1][1], dict(attrs)
-            if tag == "input" and cell["empty"] and (attrs.get("type") or "").lower() == "submit":
-                cell["button"] = attrs.get("value")
+# Comments, scripts and styles as a whole, then tags with their quoted attributes, then the rest.
+TOKEN = re.compile(
+    r"""<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>"""
+    r"""|<(/?)([a-z][a-z0-9]*)\b((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""",
+    re.S | re.I,
+)
+SUBMIT = re.compile(r"""\btype\s*=\s*["']?submit\b""", re.I)
+VALUE = re.compile(r"""\bvalue\s*=\s*(?:"([^"]*)"|'([^']*)')""", re.I)
+CELLS = ("td", "th")
+
+
+def _close(stack, *names):
+    """Close the innermost open cell or row of the current table."""
+    while stack and stack[-1][0] in names:
+        stack.pop()
+
+
+def _open(stack, tables, tag):
+    """Start a table, row or cell; one inside a nested table also counts for the outer ones."""
+    if tag == "table":
+        item = {"headings": [], "rows": []}
+        tables.append(item)
+    elif tag == "tr":
+        _close(stack, *CELLS, "tr")
+        item = []
+        for kind, outer in stack:
+            if kind == "table":
+                outer["rows"].append(item)
+    else:
+        _close(stack, *CELLS)
+        item = {"texts": [], "button": None, "empty": True}
+        for kind, outer in stack:
+            if tag == "td" and kind == "tr":
+                outer.append(item)
+            elif tag == "th" and kind == "table":
+                outer["headings"].append(item)
+    stack.append((tag, item))
+
+
+def _tables(page):
+    """Headings and rows of every table of a page."""
+    tables, stack, at = [], [], 0
+    for token in TOKEN.finditer(page):
+        _text(stack, page[at : token.start()])
+        at = token.end()
+        ends, tag, attributes = token[1], (token[2] or "").lower(), token[3]
+        if ends and tag in CELLS:
+            _close(stack, *CELLS)
+        elif ends and tag in ("tr", "table"):
+            _close(stack, *CELLS, "tr")
+            if tag == "table" and stack:
+                stack.pop()
+        elif tag in ("table", "tr", *CELLS):
+            _open(stack, tables, tag)
+        elif tag and not ends and stack and stack[-1][0] == "td":
+            cell = stack[-1][1]
+            if tag == "input" and cell["empty"] and SUBMIT.search(attributes):
+                value = VALUE.search(attributes)
+                cell["button"] = unescape(value[1] or value[2] or "") if value else None
             cell["empty"] = False
+    _text(stack, page[at:])
+    return tables
+
 
-    def handle_endtag(self, tag):
-        if tag in ("td", "th"):
-            self._close("td", "th")
-        elif tag == "tr":
-            self._close("td", "th", "tr")
-        elif tag == "table":
-            self._close("td", "th", "tr")
-            if self.open:
-                self.open.pop()
-
-    def handle_data(self, data):
-        for kind, item in self.open:
-            if kind in ("td", "th"):
-                item["texts"].append(data)
+def _text(stack, data):
+    if data and stack:
+        for kind, item in stack:
+            if kind in CELLS:
+                item["texts"].append(unescape(data))
                 item["empty"] = False
 
 
-def largest_table(html, separator=""):
+def largest_table(page):
     """(headings, rows) of the table with the most rows, the last one on ties."""
-    parser = _Tables()
-    parser.feed(html)
-    parser.close()
-    if not parser.tables:
+    tables = _tables(page)
+    if not tables:
         return [], []
-    best = max(enumerate(parser.tables), key=lambda t: (len(t[1]["rows"]), t[0]))[1]
+    best = max(enumerate(tables), key=lambda t: (len(t[1]["rows"]), t[0]))[1]
     return ["".join(h["texts"]) for h in best["headings"]], best["rows"]
 
 
