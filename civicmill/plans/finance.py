@@ -104,6 +104,7 @@ SENATE_DISTRICTS = 63
 FIRST_YEAR, LAST_YEAR = 2012, 2018
 TOTAL_ROW = "Total Contributions Received"
 
+# What the board's filer pages say (fixed values).
 STATUS_PATTERN = r"Status = (\w+)"
 COMMITTEE_ID_PATTERN = r'getfiler2_loaddates\?filerid_in=(.*)"'
 COMMITTEE_NAME_PATTERN = r"Authorized Committee = (.*)\n"

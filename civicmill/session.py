@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot leaves methods above 8000 bytes of bytecode interpreted; a projection of 46 parsed
+    # fields is larger, and runs three times as fast when Spark splits it instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 

@@ -1,17 +1,28 @@
 """Sets of CSV files: one schema, another encoding, or headers that differ per file."""
 
+import csv
+import re
 from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicmill.functions.casts import conform
 
-def read_csv_set(spark, path, schema):
-    """Many header CSVs of one declared schema, read as one table of tolerant text casts."""
-    from civicmill.functions.casts import conform
+GLOB_CHARS = re.compile(r"[][{}*?\\]")  # escaped, because readers take paths as patterns
 
+
+def _header_reader(spark, multiline):
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+
+
+def read_csv_set(spark, path, schema, multiline=False):
+    """Many header CSVs of one declared schema, read as one table of tolerant text casts.
+
+    ``multiline`` allows line ends inside quotes; a file is then read by one task.
+    """
     names = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    return conform(spark.read.option("header", True).option("escape", '"').schema(names).csv(path), schema)
+    return conform(_header_reader(spark, multiline).schema(names).csv(path), schema)
 
 
 def read_lookup(spark, path, schema, header=False, encoding="UTF-8"):
@@ -79,13 +90,14 @@ def discover_headers(spark, path, excluded=()):
     return first.select("path", F.regexp_replace("value", r"^\x{FEFF}|\r$", "").alias("header"))
 
 
-def header_columns(spark, headers):
-    """Column names of each distinct header line."""
-    rows = spark.createDataFrame([(h,) for h in headers], "value string")
-    generic = ", ".join(f"c{i} string" for i in range(max(h.count(",") for h in headers) + 1))
-    cells = F.from_csv("value", generic, {"escape": '"'})
-    found = rows.select("value", cells.alias("r")).select("value", "r.*").collect()
-    return {row[0]: [name.strip() for name in row[1:] if name is not None] for row in found}
+def header_columns(header):
+    """Column names of a header line."""
+    return [name.strip() for name in next(csv.reader([header]), [])]
+
+
+def distinct_names(names):
+    """Of a repeated column name the last one keeps it."""
+    return [f"_{i}_{name}" if name in ("", *names[i + 1 :]) else name for i, name in enumerate(names)]
 
 
 def rename_aliases(columns, aliases):
@@ -103,7 +115,7 @@ def rename_aliases(columns, aliases):
     return [(source, target) for target, source in chosen.items()]
 
 
-def read_header_groups(spark, path, schema, aliases=None, excluded=(), filename="filename"):
+def read_header_groups(spark, path, schema, aliases=None, excluded=(), filename="filename", multiline=False):
     """Union by column name of all CSV files under a folder, as text columns of ``schema``.
 
     One reader per distinct header, because a reader given files of several headers would
@@ -112,17 +124,15 @@ def read_header_groups(spark, path, schema, aliases=None, excluded=(), filename=
     """
     groups = {}
     for row in discover_headers(spark, path, excluded).collect():
-        groups.setdefault(row["header"], []).append(row["path"])
+        groups.setdefault(row["header"], []).append(GLOB_CHARS.sub(r"\\\g<0>", row["path"]))
     if not groups:
         fields = [T.StructField(f.name, T.StringType()) for f in schema.fields]
         return spark.createDataFrame([], T.StructType(fields))
     parts = []
-    names_of = header_columns(spark, list(groups))
     for header, paths in sorted(groups.items()):
-        names = names_of[header]
-        unique = [f"{name}" if names.index(name) == i else f"_{i}_{name}" for i, name in enumerate(names)]
+        unique = distinct_names(header_columns(header))
         text = T.StructType([T.StructField(name, T.StringType()) for name in unique])
-        rows = spark.read.option("header", True).option("escape", '"').schema(text).csv(paths)
+        rows = _header_reader(spark, multiline).schema(text).csv(paths)
         wanted = [(s, t) for s, t in rename_aliases(unique, aliases or {}) if t in schema.names]
         parts.append(
             rows.select(

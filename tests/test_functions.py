@@ -147,6 +147,15 @@ def test_kernel_equals_the_textbook_table():
         assert (ours == truth + 9).all()
 
 
+def test_shared_letters_bound_the_lcs():
+    for letters, longest in (("ab", 12), ("abcdefgh é漢", 60), ("a", 0)):
+        a, b = words(3, 50, letters, longest), words(4, 60, letters, longest)
+        bound = sim.shared_letters(sim.encode(a)[0], sim.encode(b)[0])
+        exact = [[sum(min(x.count(c), y.count(c)) for c in set(x)) for y in b] for x in a]
+        assert (bound == np.array(exact)).all()
+        assert all(bound[i, j] >= slow_lcs(x, y) for i, x in enumerate(a) for j, y in enumerate(b))
+
+
 def test_threshold_sits_on_rounding():
     for total in range(1, 500):
         least = sim.needed(total, 70)

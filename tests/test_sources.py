@@ -58,9 +58,9 @@ def test_csv_set_and_encoded_lookup(spark, tmp_path):
 def test_header_groups(spark, tmp_path):
     base = tmp_path / "master one"
     write(base, "2000/20001107__ny__general.csv", "county,office,votes,absentee\nKings,Mayor,\"1,234\",5\nBronx,Mayor,12,\n")
-    write(base, "2000/20001108__ny__general.csv", "county,office,votes,absentee\nErie,Clerk,7,8\n")
+    write(base, "2000/20001108__ny__general{a}[1].csv", "county,office,votes,absentee\nErie,Clerk,7,8\n")
     write(base, "2001/20011399__ny__town.csv", "﻿votes,disctrict,district,county,absentee,absentee_hc,absentee_military_votes\r\n12.0,9,1,Lake,1,,3\r\n")
-    write(base, "other/notes.csv", "affidavit,county,affidavit_votes\n3,Ulster,4\n")
+    write(base, "other/notes.csv", "affidavit,county,,affidavit_votes,county\n3,Nowhere,,4,Ulster\n")
     write(base, "county_matrix.csv", "county\nKept out\n")
     write(base, "readme.txt", "county\nNot a csv\n")
     loaded = datetime(2020, 1, 2, tzinfo=timezone.utc)
@@ -73,11 +73,20 @@ def test_header_groups(spark, tmp_path):
     assert pick("Kings", "votes", "absentee_military_votes", "election_date", "state", "scope") == (None, 5, date(2000, 11, 7), "NY", "general")
     assert pick("Bronx", "votes", "absentee_military_votes") == (12, None)
     assert pick("Erie", "office", "election_date") == ("Clerk", date(2000, 11, 8))
+    assert got["Erie"]["scope"] == "general{a}[1]"
     # The misspelled header wins over the right one, the later alias over the earlier, even when null.
     assert pick("Lake", "votes", "district", "absentee_military_votes", "election_date", "scope") == (None, "9", None, None, "town")
     assert pick("Ulster", "affidavit_votes", "state", "scope") == (3, None, None)
 
 
+def test_line_ends_inside_quotes(spark, tmp_path):
+    kinds = schemas.schema((schemas.STRING, "a"), (schemas.LONG, "b"))
+    write(tmp_path, "m/x.csv", 'a,b\n"one\ntwo",3\n')
+    assert [tuple(r) for r in csv_sets.read_csv_set(spark, f"{tmp_path}/m", kinds, multiline=True).collect()] == [("one\ntwo", 3)]
+    got = csv_sets.read_header_groups(spark, f"{tmp_path}/m", kinds, multiline=True).collect()
+    assert [(r["a"], r["b"]) for r in got] == [("one\ntwo", "3")]
+
+
 def test_rss(spark):
     feed = "<rss><channel><item><title>A &amp; é</title><link>u</link><pubDate>d</pubDate></item><item><link>w</link></item></channel></rss>"
     df = spark.createDataFrame([("k", feed), ("none", "<rss><channel></channel></rss>"), ("bad", "<rss")], "keyword string, feed string")
