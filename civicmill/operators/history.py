@@ -35,15 +35,16 @@ def count_history(df, codes, as_of, history="VoterHistory"):
         return count_history_by_join(df, codes, as_of, history)
     every = [row["Election"] for row in known]
     primaries = [row["Election"] for row in known if row["primary"]]
-    tokens = F.split(F.col(history), ";")
-
-    def hits(wanted):
-        if not wanted:
-            return F.lit(0).cast("long")
-        found = F.size(F.filter(tokens, lambda t: t.isin(wanted)))
-        return F.when(F.col(history).isNull(), 0).otherwise(found).cast("long")
-
-    return _with_flags(df.withColumns({COUNTERS[0]: hits(every), COUNTERS[1]: hits(primaries)}))
+    tokens = F.split(F.coalesce(history, F.lit("")), ";")
+    kept = lambda codes, wanted: F.filter(codes, lambda code: code.isin(wanted))
+    found = df.withColumn("__recent", kept(tokens, every) if every else F.array().cast("array<string>"))
+    counted = found.withColumns(
+        {
+            COUNTERS[0]: F.size("__recent").cast("long"),
+            COUNTERS[1]: F.size(kept(F.col("__recent"), primaries)).cast("long") if primaries else F.lit(0).cast("long"),
+        }
+    )
+    return _with_flags(counted.drop("__recent"))
 
 
 def count_history_by_join(df, codes, as_of, history="VoterHistory"):
