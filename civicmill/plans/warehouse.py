@@ -87,6 +87,14 @@ EXAMPLES = {
               GROUP BY 1, 2, 3, 4)
         GROUP BY 1, 2, 3
         ORDER BY 1, 2, 3""",
+    "voters_of_district": """
+        SELECT * FROM {Raw} WHERE SD = :district AND STATUS = 'ACTIVE'""",
+    "donor_totals": """
+        SELECT FilingYear, ContributorName, ContributorAddr1, ContributorAddr2,
+               FilerID, FilerName, FilerCommittee, Office, SUM(Amt) AS TotalDonation
+        FROM {State}
+        GROUP BY ALL
+        ORDER BY 1, 2, 3, 4, 5, 6, 7, 8""",
     "funds_raised": """
         SELECT FilingYear, FilerID, FilerName, concat('$', format_number(SUM(Amt), 0)) AS Raised
         FROM {State}

@@ -155,15 +155,19 @@ SELECT c_custkey,
 FROM customer LEFT JOIN two ON p_partkey = c_custkey AND c_custkey % 12 <> 0 AND city = 'TOWN' || c_nationkey"""
 
 
-def totals(spark, sf_dir):
+def contributions_of_orders(spark, sf_dir):
     rows = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "customer"), c("o_custkey") == c("c_custkey"))
-    named = rows.select(
+    return rows.select(
         F.year("o_orderdate").alias("FilingYear"), c("c_name").alias("ContributorName"), c("c_mktsegment").alias("ContributorAddr1"),
         F.when(~every("c_custkey", 3), c("c_nationkey").cast("string")).alias("ContributorAddr2"), c("o_orderstatus").alias("FilerID"),
         c("o_orderpriority").alias("FilerName"), lit(None).cast("string").alias("FilerCommittee"), lit("Governor").alias("Office"),
         c("o_totalprice").cast("decimal(18,2)").alias("Amt"),
     )
-    return donor_totals(named).withColumn("TotalDonation", F.col("TotalDonation").cast("double"))
+
+
+def totals(spark, sf_dir):
+    summed = donor_totals(contributions_of_orders(spark, sf_dir))
+    return summed.withColumn("TotalDonation", F.col("TotalDonation").cast("double"))
 
 
 DONOR_TOTALS = """

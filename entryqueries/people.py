@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from civicmill import schemas
 from civicmill.functions import people as fn
-from civicmill.operators.history import count_history
+from civicmill.operators.history import count_history, count_history_by_join
 from civicmill.plans.voter import count_voters, format_voters, parse_voters
 from entryqueries.tables import every, landed_lines, read
 
@@ -141,16 +141,25 @@ counters AS (
   LEFT JOIN recent b ON b.d = CAST(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH AS DATE))"""
 
 
-def history_counts(spark, sf_dir):
+def _history_counts(spark, sf_dir, count):
     orders = read(spark, sf_dir, "orders")
     voters = orders.select("o_orderkey", _history().alias("VoterHistory"))
-    counted = count_history(voters, _codes(orders), lit(AS_OF))
+    counted = count(voters, _codes(orders), lit(AS_OF))
     return counted.select(
         "o_orderkey", c("FiveYearElections").alias("elections"), c("FiveYearPrimaries").alias("primaries"),
         c("Prime").alias("prime"),
     )
 
 
+def history_counts(spark, sf_dir):
+    return _history_counts(spark, sf_dir, count_history)
+
+
+def history_counts_by_join(spark, sf_dir):
+    """The form for code tables too long for the plan."""
+    return _history_counts(spark, sf_dir, count_history_by_join)
+
+
 HISTORY_COUNTS = f"""
 WITH {_HISTORY}
 SELECT o_orderkey, CAST(elections AS BIGINT) AS elections, CAST(primaries AS BIGINT) AS primaries, primaries > 0 AS prime
@@ -250,6 +259,7 @@ QUERIES = {
     "format_address": format_address,
     "date_age": date_age,
     "history_counts": history_counts,
+    "history_counts_by_join": history_counts_by_join,
     "voter_formatted": voter_formatted,
     "conditional_counts": conditional_counts,
     "voter_counts": voter_counts,
@@ -260,6 +270,7 @@ ORACLES = {
     "format_address": FORMAT_ADDRESS,
     "date_age": DATE_AGE,
     "history_counts": HISTORY_COUNTS,
+    "history_counts_by_join": HISTORY_COUNTS,
     "voter_formatted": VOTER_FORMATTED,
     "conditional_counts": CONDITIONAL_COUNTS,
     "voter_counts": VOTER_COUNTS,

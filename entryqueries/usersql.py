@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from civicmill.operators.rollup import joined_values
 from civicmill.plans.warehouse import run_example
+from entryqueries.finance import DONOR_TOTALS, contributions_of_orders
 from entryqueries.tables import every, read
 
 c, lit = F.col, F.lit
@@ -153,6 +154,22 @@ FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
 WHERE year(l_shipdate) + 16 > 2012 AND l_returnflag = 'A' AND s_nationkey % 3 = 2 GROUP BY ALL"""
 
 
+def sql_voters_of_district(spark, sf_dir):
+    return run_example(spark, "voters_of_district", {"Raw": _raw(spark, sf_dir)}, district=31)
+
+
+SQL_VOTERS_OF_DISTRICT = """
+SELECT o_orderpriority AS "ENROLLMENT", o_orderstatus AS "TOWNCITY", o_custkey % 3 AS "ED", o_custkey % 63 AS "SD", o_custkey % 150 AS "AD",
+       'ACTIVE' AS "STATUS",
+       strftime(o_orderdate, '%Y%m') || ';' || strftime(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH, '%Y%m') || ';' AS "VoterHistory"
+FROM orders WHERE o_custkey % 63 = 31 AND o_orderstatus <> 'F'"""
+
+
+def sql_donor_totals(spark, sf_dir):
+    totals = run_example(spark, "donor_totals", {"State": contributions_of_orders(spark, sf_dir)})
+    return totals.withColumn("TotalDonation", c("TotalDonation").cast("double"))
+
+
 def sql_limit(spark, sf_dir):
     """The first ten rows; ordered first, so that they are always the same."""
     table = _formatted(spark, sf_dir).orderBy("FullName")
@@ -172,6 +189,8 @@ QUERIES = {
     "sql_results_parties": sql_results_parties,
     "joined_parties": joined_parties,
     "sql_money_summary": sql_money_summary,
+    "sql_voters_of_district": sql_voters_of_district,
+    "sql_donor_totals": sql_donor_totals,
     "sql_limit": sql_limit,
 }
 
@@ -184,5 +203,7 @@ ORACLES = {
     "sql_results_parties": SQL_RESULTS_PARTIES,
     "joined_parties": JOINED_PARTIES,
     "sql_money_summary": SQL_MONEY_SUMMARY,
+    "sql_voters_of_district": SQL_VOTERS_OF_DISTRICT,
+    "sql_donor_totals": DONOR_TOTALS,
     "sql_limit": SQL_LIMIT,
 }
