@@ -1,6 +1,5 @@
 """Session settings and the shared scratch folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -12,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # HotSpot leaves methods above 8000 bytes of bytecode interpreted; a projection of 46 parsed
@@ -32,16 +33,11 @@ def build_session(app="civicmill", **conf):
 def shared_dir(spark):
     """The folder that all executors see, for checkpoints and intermediate tables.
 
-    It is the one named by ``spark.checkpoint.dir``.  Only a local session that names
-    none gets a temporary folder; on a cluster a missing setting is an error.
+    It is the one named by ``spark.checkpoint.dir``, which every session has to set.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="civicmill-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -56,3 +52,9 @@ def cut(df):
     """Reliable checkpoint: later steps restart from files, not from the whole lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def remove_path(spark, path):
+    """Delete a file or folder, in whatever store it is."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
