@@ -30,7 +30,7 @@ ROUNDS = 24                 # of multiplicative weights; bounds the number of co
 STEP = 0.25                 # share of the scarcest uncovered length that a configuration takes
 RATE = 3.0                  # of the weights
 CELL_ROWS = 50_000          # pieces of one length ranked in one task
-CACHE = 400_000             # chunks of text whose ids a worker remembers
+CACHE = 1_000_000           # chunks of text whose ids a worker remembers
 
 
 # tokens
@@ -73,9 +73,11 @@ class ChunkEncoder:
 
     def encode(self, text):
         """Little-endian unsigned 32-bit ids as bytes."""
-        known = self.chunks
         parts = text.replace("\n", " ").split(" ")
-        return b"".join([known[p] if p in known else self._chunk(p) for p in parts])
+        found = list(map(self.chunks.get, parts))
+        if None in found:
+            found = [self._chunk(p) if f is None else f for p, f in zip(parts, found)]
+        return b"".join(found)
 
 
 def tokenized_pieces(docs, sequence=SEQUENCE, path=None, end_id=END_ID, with_ids=False):
