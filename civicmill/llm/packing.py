@@ -5,7 +5,7 @@ sequence.  A configuration is a multiset of lengths that fits into one sequence.
 program asks for the least number of configurations that cover the histogram.  It is solved by
 multiplicative weights: a length weighs its tokens times a factor that grows with the share of it
 still uncovered, a knapsack dynamic program prices the best configuration around every length,
-each is taken by a step, and the weights are updated.  The fractional solution is rounded down
+those priced close to the best are taken by a step, and the weights are updated.  The fractional solution is rounded down
 with its remainders carried along, and what is left is filled up best-fit, largest first.
 
 Only the histogram reaches the driver: its size is the sequence length.  Rows get their place
@@ -26,9 +26,10 @@ from civicmill.session import cut
 SEQUENCE = 2048
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 0
-ROUNDS = 24                 # of multiplicative weights; bounds the number of configurations
+ROUNDS = 40                 # of multiplicative weights; bounds the number of configurations
 STEP = 0.25                 # share of the scarcest uncovered length that a configuration takes
 RATE = 3.0                  # of the weights
+SLACK = 0.01                # a configuration is taken if its price is that close to the best one's
 CELL_ROWS = 50_000          # pieces of one length ranked in one task
 CACHE = 1_000_000           # chunks of text whose ids a worker remembers
 
@@ -133,7 +134,7 @@ def best_fills(lengths, weights, sequence):
         value[room], last[room] = value[room - 1], 0
         if fits:
             options = value[room - lengths[:fits]] + weights[:fits]
-            best = int(options.argmax())
+            best = int(fits - 1 - options[::-1].argmax())       # of equal options the longest piece
             if options[best] > value[room]:
                 value[room], last[room] = options[best], lengths[best]
     return value, last
@@ -163,11 +164,12 @@ def solve_configurations(histogram, sequence=SEQUENCE, rounds=ROUNDS, step=STEP,
         if not len(lengths):
             break
         share = left[lengths] / need[lengths]
-        weights = lengths / sequence * np.exp(rate * (share - share.mean()) / 100)
-        _, last = best_fills(lengths, weights, sequence)
+        weights = lengths / sequence * np.exp(rate * (share - share.mean()))
+        value, last = best_fills(lengths, weights, sequence)
+        price = dict(zip(lengths.tolist(), weights + value[sequence - lengths]))
         # the lengths that are covered least come first
         for length in lengths[np.argsort(-share, kind="stable")].tolist():
-            if left[length] <= 1e-9:
+            if left[length] <= 1e-9 or price[length] < (1 - SLACK) * value[sequence]:
                 continue
             chosen = sorted([length, *_fill(sequence - length, last)], reverse=True)
             kinds, times = np.unique(chosen, return_counts=True)
