@@ -6,7 +6,6 @@ from civicmill.functions.people import is_recent
 from civicmill.operators.lookup import single_valued
 from civicmill.operators.sizes import small_side
 
-LITERAL_CODES = 5_000  # codes that may become literals of the plan
 COUNTERS = ("FiveYearElections", "FiveYearPrimaries")
 
 
@@ -30,9 +29,7 @@ def count_history(df, codes, as_of, history="VoterHistory"):
     voters are not shuffled; a longer one is joined per distinct history.
     """
     recent = _recent_codes(codes, as_of)
-    known = recent.limit(LITERAL_CODES + 1).collect()
-    if len(known) > LITERAL_CODES:
-        return count_history_by_join(df, codes, as_of, history)
+    known = recent.collect()
     every = [row["Election"] for row in known]
     primaries = [row["Election"] for row in known if row["primary"]]
     tokens = F.split(F.coalesce(history, F.lit("")), ";")

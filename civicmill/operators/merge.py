@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from civicmill.operators.sizes import hot_keys, small_side, spread
+from civicmill.operators.sizes import small_side
 
 
 def merge_records(sides, key):
@@ -33,9 +33,6 @@ def merge_records(sides, key):
     return merged.select(key, *[cell.alias(name) for name, cell in columns.items()])
 
 
-NEST_LIMIT = 10_000
-
-
 def attach_many(df, many, on, take):
     """Flat form of the one-to-many lookup: a row per match, or one row of nulls without any."""
     names = {f"__{k}": k for k in on.values()}
@@ -47,50 +44,19 @@ def attach_many(df, many, on, take):
     return df.join(small_side(side), condition, "left").drop(*names)
 
 
-def nest_many(df, many, on, take, into, limit=NEST_LIMIT):
+def nest_many(df, many, on, take, into):
     """Nested form: the matches of a row as an array of structs, one all-null struct without any.
 
-    An array holds about ``limit`` elements at most.  A row with more matches continues on
-    further rows with the same other columns, so no task ever collects an unbounded group.
+    A row of ``df`` stays one row, whatever the number of its matches, so sums over the result do
+    not depend on it.  An array holds all matches of its row: use this for relations whose groups
+    are bounded by their nature, like the districts of a place, and ``attach_many`` for others.
+    Null keys match nothing and are dropped before the grouping.
     """
     keys = list(on.values())
     item = F.struct(*[F.col(source).alias(target) for target, source in take.items()])
-    side = many.select(*keys, item.alias("item"))
-    hot = hot_keys(side, keys, limit).drop("parts")
-    arrays = _arrays(side, keys)
-    if not hot.isEmpty():
-        crowded = small_side(hot)
-        arrays = _arrays(side.join(crowded, keys, "left_anti"), keys).unionByName(
-            _arrays_in_parts(side.join(crowded, keys, "left_semi"), keys, limit)
-        )
-    arrays = arrays.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("items").alias(into))
+    side = many.select(*[F.col(k).alias(f"__{k}") for k in keys], item.alias("item")).dropna(subset=[f"__{k}" for k in keys])
+    arrays = side.groupBy(*[f"__{k}" for k in keys]).agg(F.sort_array(F.collect_list("item")).alias(into))
     condition = reduce(lambda a, b: a & b, [df[left] == arrays[f"__{right}"] for left, right in on.items()])
     joined = df.join(arrays, condition, "left").drop(*[f"__{k}" for k in keys])
     empty = F.array(F.struct(*[F.lit(None).cast(side.schema["item"].dataType[t].dataType).alias(t) for t in take]))
     return joined.withColumn(into, F.coalesce(F.col(into), empty))
-
-
-def _arrays(side, keys):
-    return side.groupBy(*keys).agg(F.sort_array(F.collect_list("item")).alias("items"))
-
-
-def _arrays_in_parts(side, keys, limit):
-    """Arrays of crowded keys, several per key.
-
-    Copies are counted before the shuffle and written out again inside an array.  An item
-    with many copies is cut into runs of ``limit``, each an array of its own.
-    """
-    counted = side.groupBy(*keys, "item").agg(F.count("*").alias("copies"))
-    cut = counted.withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / limit))))
-    copies = F.least(F.lit(limit), F.col("copies") - F.col("run") * limit).cast("int")
-    runs = cut.select(*keys, "item", "run", copies.alias("copies"))
-    alone = runs.where(F.col("copies") >= limit).withColumn("part", -1 - F.col("run"))
-    shared = spread(runs.where(F.col("copies") < limit), keys, limit, weight="copies")
-    parts = alone.withColumn("own", F.col("item")).unionByName(
-        shared.withColumn("own", F.lit(None).cast(side.schema["item"].dataType))
-    )
-    pairs = F.sort_array(F.collect_list(F.struct("item", "copies")))
-    packed = parts.groupBy(*keys, "part", "own").agg(pairs.alias("pairs"))
-    return packed.select(
-        *keys, F.flatten(F.transform("pairs", lambda p: F.array_repeat(p["item"], p["copies"]))).alias("items")
-    )

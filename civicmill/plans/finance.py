@@ -22,83 +22,84 @@ RACES = [
     ("City Council", "6"),
 ]
 
-# Office codes of the elections board (fixed values).
-OFFICE_CODES = """
-04 Governor
-05 Lt. Governor
-07 Attorney General
-08 U.S. Senator
-09 Sup. Court Justice
-11 State Senator
-12 Member of Assembly
-13 State Committee
-16 Judicial Delegate
-17 Alt Judicial Del.
-18 Chairperson
-19 City Manager
-20 Council President
-21 County Executive
-22 Mayor
-23 President
-24 Supervisor
-25 Sheriff
-26 District Attorney
-27 County Legislator
-28 County Court Judge
-29 Surrogate Court Judge
-30 Family Court Judge
-31 Party Committee Member
-32 City Council
-33 Village Trustee
-34 Village Justice
-35 Clerk
-36 Town Justice
-37 Town Council
-38 Receiver of Taxes
-39 Highway Superintendent
-40 Alderperson
-41 Treasurer
-42 Assessor
-43 Borough President
-44 District Leader
-45 Comptroller
-46 Coroner
-47 County Representative
-49 Public Advocate
-50 Councilman
-51 Trustee
-52 Town Board
-53 Legislator
-54 Legislative District
-55 City Chamberlain
-56 City Council President
-57 City Court Judge
-58 Pres. Common Council
-59 Clerk/Collector
-60 Civil Court Judge
-61 Trustee of School Funds
-62 County Committee
-63 Commissioner of Education
-64 Commissioner of Public Works
-65 Common Council
-66 District Court Judge
-67 Commissioner of Finance
-68 Citizen's Review Board Member
-69 Town Clerk/Tax Collector
-70 Town Tax Collector
-71 Controller
-72 City School Board
-73 Collector
-74 Commissioner of Schools
-75 County Clerk
-76 Town Clerk
-77 Village Clerk
-78 County Treasurer
-79 Town Treasurer
-80 Village Treasurer
-81 City Treasurer
-82 Town Supervisor
-"""
+# Office codes of the elections board (fixed values); of an office listed twice the last code counts.
+OFFICE_CODES = [
+    ("Governor", "04"),
+    ("Lt. Governor", "05"),
+    ("Comptroller", "06"),
+    ("Attorney General", "07"),
+    ("U.S. Senator", "08"),
+    ("Sup. Court Justice", "09"),
+    ("State Senator", "11"),
+    ("Member of Assembly", "12"),
+    ("State Committee", "13"),
+    ("Judicial Delegate", "16"),
+    ("Alt Judicial Del.", "17"),
+    ("Chairperson", "18"),
+    ("City Manager", "19"),
+    ("Council President", "20"),
+    ("County Executive", "21"),
+    ("Mayor", "22"),
+    ("President", "23"),
+    ("Supervisor", "24"),
+    ("Sheriff", "25"),
+    ("District Attorney", "26"),
+    ("County Legislator", "27"),
+    ("County Court Judge", "28"),
+    ("Surrogate Court Judge", "29"),
+    ("Family Court Judge", "30"),
+    ("Party Committee Member", "31"),
+    ("City Council", "32"),
+    ("Village Trustee", "33"),
+    ("Village Justice", "34"),
+    ("Clerk", "35"),
+    ("Town Justice", "36"),
+    ("Town Council", "37"),
+    ("Receiver of Taxes", "38"),
+    ("Highway Superintendent", "39"),
+    ("Alderperson", "40"),
+    ("Treasurer", "41"),
+    ("Assessor", "42"),
+    ("Borough President", "43"),
+    ("District Leader", "44"),
+    ("Comptroller", "45"),
+    ("Coroner", "46"),
+    ("County Representative", "47"),
+    ("Public Advocate", "49"),
+    ("Councilman", "50"),
+    ("Trustee", "51"),
+    ("Town Board", "52"),
+    ("Legislator", "53"),
+    ("Legislative District", "54"),
+    ("City Chamberlain", "55"),
+    ("City Council President", "56"),
+    ("City Court Judge", "57"),
+    ("Pres. Common Council", "58"),
+    ("Clerk/Collector", "59"),
+    ("Civil Court Judge", "60"),
+    ("Trustee of School Funds", "61"),
+    ("County Committee", "62"),
+    ("Commissioner of Education", "63"),
+    ("Commissioner of Public Works", "64"),
+    ("Common Council", "65"),
+    ("District Court Judge", "66"),
+    ("Commissioner of Finance", "67"),
+    ("Citizen's Review Board Member", "68"),
+    ("Town Clerk/Tax Collector", "69"),
+    ("Town Tax Collector", "70"),
+    ("Controller", "71"),
+    ("City School Board", "72"),
+    ("Collector", "73"),
+    ("Commissioner of Schools", "74"),
+    ("County Clerk", "75"),
+    ("Town Clerk", "76"),
+    ("Village Clerk", "77"),
+    ("County Treasurer", "78"),
+    ("Town Treasurer", "79"),
+    ("Village Treasurer", "80"),
+    ("City Treasurer", "81"),
+    ("Town Supervisor", "82"),
+]
 
 SENATE_DISTRICTS = 63
 FIRST_YEAR, LAST_YEAR = 2012, 2018
@@ -111,8 +112,7 @@ COMMITTEE_NAME_PATTERN = r"Authorized Committee = (.*)\n"
 
 
 def office_codes(spark):
-    rows = [tuple(reversed(line.split(" ", 1))) for line in OFFICE_CODES.strip().splitlines()]
-    return spark.createDataFrame(rows, "Office string, Code string")
+    return spark.createDataFrame(list(dict(OFFICE_CODES).items()), "Office string, Code string")
 
 
 def expand_races(races, office="office", district="district"):

@@ -9,6 +9,9 @@ from civicmill.operators.entities import entity_sentiment, keyword_articles
 from civicmill.plans.warehouse import append_table
 from civicmill.sources.feeds import rss_items
 
+# The news table holds texts of this many characters at most (fixed value).
+TEXT_LIMIT = 64 * 1024
+
 # Names that are followed (fixed values).
 KEYWORDS = [
     "Lee Zeldin", "Jeff Klein", "John Faso", "Marisol Alcantara", "David Valesky",
@@ -49,7 +52,7 @@ def semantic(rows, gazetteer, lexicon, longest=2):
         ascii_text(F.col("title")).alias("title"),
         ascii_text(F.col("link")).alias("url"),
         feed_time(F.col("pubDate")).alias("pubdate"),
-        ascii_text(F.col("text")).alias("text"),
+        ascii_text(F.col("text"), TEXT_LIMIT).alias("text"),
         "entities",
     )
     return conform(plain, schemas.NEWS)

@@ -13,7 +13,8 @@ def overwrite_table(df, name, schema=None, partition_by=None, path=None):
 
     A partitioned table is rebalanced by its partition column, so that files come out of a
     sensible size and a value that holds much of the data is written by several tasks.
-    ``path`` keeps the files outside the warehouse folder.
+    ``path`` keeps the files outside the warehouse folder.  The result has the declared order of
+    columns; the stored table has its partition column last.
     """
     _prepared(df.sparkSession, name)
     out = conform(df, schema) if schema is not None else df
@@ -25,7 +26,7 @@ def overwrite_table(df, name, schema=None, partition_by=None, path=None):
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    return df.sparkSession.table(name).select(*out.columns)
 
 
 def append_table(df, name, schema=None, path=None):

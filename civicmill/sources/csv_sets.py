@@ -37,19 +37,8 @@ def read_lookup(spark, path, schema, header=False, encoding="UTF-8"):
 
 
 def read_encoded_lines(spark, path, encoding="ISO-8859-1"):
-    """Lines of a file that is not UTF-8, decoded.
-
-    The text reader ignores the encoding, so the CSV reader is used with a separator and
-    quote that do not occur; it skips blank lines.
-    """
-    return (
-        spark.read.option("encoding", encoding)
-        .option("sep", "\u0001")
-        .option("quote", "\u0002")
-        .option("escape", "\u0002")
-        .schema("value string")
-        .csv(path)
-    )
+    """Every line of a file that is not UTF-8, decoded; blank lines stay."""
+    return spark.read.text(path).select(F.decode(F.col("value").cast("binary"), encoding).alias("value"))
 
 
 def file_path():

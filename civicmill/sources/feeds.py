@@ -8,9 +8,11 @@ FEED = "channel struct<item: array<struct<title: string, link: string, pubDate:
 def rss_items(feeds, feed="feed"):
     """One row per item of each feed; the other columns are kept, a feed without items gives none.
 
+    A feed that is not well-formed fails the job, so its items are not lost unseen.
+
     Feeds are reduced to ASCII before parsing.
     """
     plain = F.regexp_replace(F.col(feed), r"[^\x00-\x7F]", "?")
     kept = [c for c in feeds.columns if c != feed]
-    parsed = feeds.select(*kept, F.from_xml(plain, FEED).alias("parsed"))
+    parsed = feeds.select(*kept, F.from_xml(plain, FEED, {"mode": "FAILFAST"}).alias("parsed"))
     return parsed.select(*kept, F.inline("parsed.channel.item"))

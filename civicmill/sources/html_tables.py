@@ -122,17 +122,12 @@ def html_table_rows(pages, html="html", separator="", button=None, total=None):
     second cell reads ``total`` are dropped.
     """
     kept = [c for c in pages.columns if c != html]
-    schema = T.StructType([pages.schema[c] for c in kept] + ROWS.fields)
 
-    def extract(batches):
-        for batch in batches:
-            out = []
-            for *values, page in batch[kept + [html]].itertuples(index=False, name=None):
-                for record in _records(page or "", separator, button):
-                    out.append((*values, *record))
-            yield pd.DataFrame(out, columns=schema.names)
+    @F.pandas_udf(T.ArrayType(ROWS))
+    def extract(page: pd.Series) -> pd.Series:
+        return pd.Series([list(_records(p or "", separator, button)) for p in page], dtype=object)
 
-    rows = pages.select(*kept, html).mapInPandas(extract, schema)
+    rows = pages.select(*kept, F.inline(extract(F.col(html))))
     if total is not None:
         rows = rows.where(F.col("second").isNull() | (F.col("second") != total))
     names = F.transform_keys("cells", lambda k, v: F.replace(k, F.lit(" "), F.lit("")))

@@ -5,9 +5,7 @@ from pyspark.sql import types as T
 
 from civicmill.functions.casts import strip, text, to_long
 
-FIELD_LIMIT = 131072  # a longer field makes the line unreadable
-MAX_FIELDS = str(1 << 20)  # of a line; those beyond the schema are ignored
-OVERLONG = r'"[^"]{%d,}|[^,"]{%d,}' % (FIELD_LIMIT + 1, FIELD_LIMIT + 1)
+MAX_FIELDS = 1 << 20  # of a line that the parser takes; those beyond the schema are ignored
 
 
 def read_lines(spark, path):
@@ -15,22 +13,34 @@ def read_lines(spark, path):
     return spark.read.text(path)
 
 
+def _comma_count(line):
+    unquoted = F.regexp_replace(line, '"[^"]*"', "")
+    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
+
+
+def unreadable(line):
+    """Why a line cannot be parsed, or null."""
+    return F.when(F.contains(line, F.lit("\0")), "NUL").when(_comma_count(line) >= MAX_FIELDS, "too many fields")
+
+
+def rejected_lines(lines, value="value"):
+    """(value, reason) of the lines ``parse_delimited`` leaves out: with its rows, they are all lines."""
+    reason = unreadable(F.col(value))
+    return lines.where(F.col(value).isNotNull()).select(value, reason.alias("reason")).where("reason is not null")
+
+
 def parse_delimited(lines, schema, value="value"):
     """Headerless quoted CSV lines to typed columns.
 
     Every field is trimmed; integers that do not parse and fields the line does not have
-    are null, fields beyond the schema are ignored.  A line that holds a NUL or an overlong
-    field is dropped.
+    are null, fields beyond the schema are ignored, fields of any length are kept.  A line that
+    holds a NUL or more than ``MAX_FIELDS`` fields is found by ``rejected_lines`` instead.
     """
     line = F.col(value)
     fields = ", ".join(f"f{i} string" for i in range(len(schema)))
-    unquoted = F.regexp_replace(line, '"[^"]*"', "")
-    n_commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
-    overlong = F.length(line) > FIELD_LIMIT
-    readable = ~F.contains(line, F.lit("\0")) & ~F.when(overlong, line.rlike(OVERLONG)).otherwise(False)
-    parsed = lines.where(readable).select(
-        F.from_csv(line, fields, {"escape": '"', "maxColumns": MAX_FIELDS}).alias("cells"),
-        F.when(line == "", 0).otherwise(n_commas + 1).alias("n"),
+    parsed = lines.where(unreadable(line).isNull() & line.isNotNull()).select(
+        F.from_csv(line, fields, {"escape": '"', "maxColumns": str(MAX_FIELDS), "maxCharsPerColumn": "-1"}).alias("cells"),
+        F.when(line == "", 0).otherwise(_comma_count(line) + 1).alias("n"),
     )
     columns = []
     for i, field in enumerate(schema.fields):

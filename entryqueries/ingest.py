@@ -9,7 +9,7 @@ from civicmill.functions.casts import conform
 from civicmill.plans.results import ALIASES, filename_fields
 from civicmill.plans.warehouse import append_table, overwrite_table
 from civicmill.session import scratch_path
-from civicmill.sources.csv_sets import read_csv_set, read_header_groups
+from civicmill.sources.csv_sets import read_csv_set, read_encoded_lines, read_header_groups, read_lookup
 from civicmill.sources.html_tables import html_table_rows
 from civicmill.sources.lines import packed_cell, packed_cells, parse_delimited, parse_fixed_width, parse_ranges
 from entryqueries.tables import cents, every, landed_lines, read
@@ -248,7 +248,7 @@ def html_rows(spark, sf_dir):
         lit("</table></body></html>"),
     )
     found = html_table_rows(
-        rows.select("c_custkey", html.alias("html")), separator="\n", total="Total Contributions Received"
+        rows.select(F.when(~every("c_custkey", 9), c("c_custkey") + (1 << 53)).alias("c_custkey"), html.alias("html")), separator="\n", total="Total Contributions Received"
     )
     return found.select(
         "c_custkey", "row_no",
@@ -256,14 +256,59 @@ def html_rows(spark, sf_dir):
     )
 
 
-HTML_TABLE_ROWS = """
-SELECT c_custkey, CAST(0 AS BIGINT) AS row_no, c_name AS filer, c_mktsegment || chr(10) || '& Co' || chr(10) || 'Rome' AS contributor,
+_HTML_KEY = "CASE WHEN c_custkey % 9 <> 0 THEN c_custkey + 9007199254740992 END AS c_custkey"
+HTML_TABLE_ROWS = f"""
+SELECT {_HTML_KEY}, CAST(0 AS BIGINT) AS row_no, c_name AS filer, c_mktsegment || chr(10) || '& Co' || chr(10) || 'Rome' AS contributor,
        CAST(c_custkey AS VARCHAR) AS amt FROM customer
 UNION ALL
-SELECT c_custkey, CAST(1 AS BIGINT), c_name, CAST(c_nationkey AS VARCHAR), '7' FROM customer"""
+SELECT {_HTML_KEY}, CAST(1 AS BIGINT), c_name, CAST(c_nationkey AS VARCHAR), '7' FROM customer"""
+
+
+def lookup_load(spark, sf_dir):
+    """A lookup CSV without header, written and loaded with its declared schema."""
+    path = scratch_path(spark, "lookup")
+    read(spark, sf_dir, "nation").select("n_nationkey", F.concat(c("n_name"), lit(', "the"'))).write.option("escape", '"').csv(path)
+    return read_lookup(spark, path, schemas.COUNTY_CODES)
+
+
+LOOKUP_LOAD = """SELECT CAST(n_nationkey AS BIGINT) AS Code, n_name || ', "the"' AS Name FROM nation"""
+
+
+def encoded_lines(spark, sf_dir):
+    """Bytes read as Latin-1, blank lines and control characters included, counted after decoding.
+
+    The writer makes two bytes of an accented letter, and each is a character of Latin-1.
+    """
+    path = scratch_path(spark, "encoded")
+    line = F.when(every("c_custkey", 10), lit("")).otherwise(F.concat(c("c_name"), lit("\u0001é, ü"), c("c_mktsegment")))
+    read(spark, sf_dir, "customer").select(line).write.text(path)
+    return read_encoded_lines(spark, path).groupBy("value").agg(F.count("*").alias("n"))
+
+
+ENCODED_LINES = """
+SELECT CASE WHEN c_custkey % 10 = 0 THEN '' ELSE c_name || chr(1) || 'Ã©, Ã¼' || c_mktsegment END AS value, count(*) AS n
+FROM customer GROUP BY 1"""
+
+
+def shared_input_tables(spark, sf_dir):
+    """One input written to a table as it is and to another one counted; both read back."""
+    rows, name = _order_rows(spark, sf_dir), uuid.uuid4().hex
+    raw = overwrite_table(rows, f"shared_raw_{name}", path=scratch_path(spark, "shared-raw"))
+    counted = overwrite_table(raw.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.sum("cents").alias("cents")),
+                              f"shared_counts_{name}", path=scratch_path(spark, "shared-counts"))
+    return raw.join(counted.withColumnsRenamed({"cents": "all_cents"}), "o_orderstatus")
+
+
+SHARED_INPUT_TABLES = f"""
+WITH rows AS ({_ORDER_ROWS})
+SELECT r.*, n, all_cents FROM rows r JOIN (
+  SELECT o_orderstatus, count(*) AS n, CAST(sum(cents) AS BIGINT) AS all_cents FROM rows GROUP BY 1) USING (o_orderstatus)"""
 
 
 QUERIES = {
+    "lookup_load": lookup_load,
+    "encoded_lines": encoded_lines,
+    "shared_input_tables": shared_input_tables,
     "delimited_parse": delimited_parse,
     "fixed_width_parse": fixed_width_parse,
     "packed_ranges": packed_ranges,
@@ -277,6 +322,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "lookup_load": LOOKUP_LOAD,
+    "encoded_lines": ENCODED_LINES,
+    "shared_input_tables": SHARED_INPUT_TABLES,
     "delimited_parse": DELIMITED_PARSE,
     "fixed_width_parse": FIXED_WIDTH_PARSE,
     "packed_ranges": PACKED_RANGES,

@@ -81,7 +81,7 @@ def text_ascii(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", ascii_text(c("text")).alias("text"))
 
 
-TEXT_ASCII = r"SELECT doc_id, regexp_replace(left(text, 65536), '[^\x00-\x7F]', '?', 'g') AS text FROM documents"
+TEXT_ASCII = r"SELECT doc_id, regexp_replace(text, '[^\x00-\x7F]', '?', 'g') AS text FROM documents"
 
 KEYWORDS = ["the and", "tion", "eau", "Nicht", "pour", "ment", "of the", "que", "para", "zzzz"]
 

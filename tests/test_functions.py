@@ -108,12 +108,18 @@ def test_visible_text(spark):
 
 def test_ascii_text_truncates_and_replaces(spark):
     got = column(spark, ["aé漢😀b", "x" * 70000], text.ascii_text)
-    assert got[0] == "a???b" and len(got[1]) == 65536
+    assert got[0] == "a???b" and len(got[1]) == 70000
+    assert len(column(spark, ["x" * 70000], lambda c: text.ascii_text(c, 65536))[0]) == 65536
+
+
+def test_references_and_parts_left_open(spark):
+    pages = ["a &mdash; &#8217;&eacute;&#x27;&nbsp;b<script>x", "c<!-- d", "e <style>f</style>&amp;lt;", None]
+    assert column(spark, pages, text.visible_text) == ["a \u2014 \u2019é' b", "c", "e &lt;", None]
 
 
 def test_feed_time(spark):
-    got = column(spark, ["Tue, 03 Jul 2018 07:00:00 GMT", "yesterday", None], lambda c: F.unix_timestamp(text.feed_time(c)))
-    assert got == [1530601200, None, None]
+    got = column(spark, ["Tue, 03 Jul 2018 07:00:00 GMT", "Tue, 3 Jul 2018 07:00:00 GMT", "yesterday", None], lambda c: F.unix_timestamp(text.feed_time(c)))
+    assert got == [1530601200, 1530601200, None, None]
 
 
 def slow_lcs(a, b):
@@ -163,10 +169,28 @@ def test_threshold_sits_on_rounding():
         assert sim.rounded_score(np.array(least - 1), np.array(total)) < 70
 
 
+def similarity_builtin(a, b):
+    """The same score from SQL functions alone; slow, kept as a cross-check."""
+    letters, width = F.split(a, ""), F.length(b)
+    blank = F.array_repeat(F.lit(0), width + 1)
+
+    def next_row(row, letter):
+        cell = lambda line, j: F.when(
+            F.substring(b, j, 1) == letter, F.get(row, j - 1) + 1
+        ).otherwise(F.greatest(F.get(row, j), F.element_at(line, -1)))
+        start = F.array(F.lit(0))
+        return F.aggregate(F.sequence(F.lit(1), width), start, lambda line, j: F.concat(line, F.array(cell(line, j))))
+
+    lcs = F.element_at(F.aggregate(letters, blank, next_row), -1)
+    total = F.length(a) + F.length(b)
+    score = F.floor((400 * lcs + total) / (2 * total)).cast("long")
+    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0).cast("long")).otherwise(score)
+
+
 def test_similarity_column(spark):
     pairs = [("kitten", "sitting"), ("same", "same"), ("", "x"), (None, "x"), ("abc", "xyz"), ("x" * 3000 + "y", "x" * 3000)]
     df = spark.createDataFrame(pairs, "a string, b string")
-    got = df.select(sim.similarity("a", "b").alias("s"), sim.similarity_builtin(F.substring("a", 1, 60), F.substring("b", 1, 60)).alias("t"))
+    got = df.select(sim.similarity("a", "b").alias("s"), similarity_builtin(F.substring("a", 1, 60), F.substring("b", 1, 60)).alias("t"))
     rows = got.collect()
     assert [r["s"] for r in rows] == [62, 100, 0, None, 0, 100]
     assert [r["t"] for r in rows][:5] == [62, 100, 0, None, 0]

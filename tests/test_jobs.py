@@ -162,7 +162,7 @@ def test_finance_and_match_tables(spark, voter_tables):
 
 
 def test_races_and_years(spark):
-    assert len(finance.OFFICE_CODES.strip().splitlines()) == finance.office_codes(spark).select("Office").distinct().count() == 74
+    assert len(finance.OFFICE_CODES) - 1 == finance.office_codes(spark).select("Office").distinct().count() == 74
     races = spark.createDataFrame(finance.RACES, "office string, district string")
     got = finance.expand_races(races)
     assert got.count() == 8 + 63 and got.where("office = 'State Senator'").agg(F.max(F.col("district").cast("int"))).first()[0] == 63

@@ -3,7 +3,9 @@
 import os
 from datetime import date, datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicmill import schemas
 from civicmill.plans import results
@@ -25,7 +27,7 @@ def test_delimited_lines(spark, tmp_path):
     got = [tuple(r) for r in lines.parse_delimited(lines.read_lines(spark, path), kinds).collect()]
     assert got == [
         ("SMITH, J", 5, 'a "b"'), ("pad", 7, ""), ("x", None, "y"), ("short", None, None), ("long", 1, "t"),
-        (None, None, None), ("quoted", None, ""), ("b", 1, "x"),
+        (None, None, None), ("quoted", None, ""), ("y" * 140000, 1, "x"), ("b", 1, "x"),
     ]
 
 
@@ -53,6 +55,16 @@ def test_csv_set_and_encoded_lookup(spark, tmp_path):
     assert [tuple(r) for r in lookup.orderBy("Code").collect()] == [(3, "Bronx"), (24, "Montréal")]
     raw = csv_sets.read_encoded_lines(spark, path)
     assert [r[0] for r in raw.collect()] == ["3,Bronx", "24,Montréal"]
+    path = write(tmp_path, "lines.txt", "a\x01b\n\né\nlast", "latin-1")
+    assert [r[0] for r in csv_sets.read_encoded_lines(spark, path).collect()] == ["a\x01b", "", "é", "last"]
+
+
+def test_rejected_lines_and_rows_are_all_lines(spark):
+    long = "x" * 200_000
+    df = spark.createDataFrame([(f"{long},2",), ("a\0b,1",), ("," * (1 << 20),), ("c,3",)], "value string")
+    parsed = lines.parse_delimited(df, T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.LongType())]))
+    assert sorted((len(r["a"]), r["b"]) for r in parsed.collect()) == [(1, 3), (200_000, 2)]
+    assert sorted(r["reason"] for r in lines.rejected_lines(df).collect()) == ["NUL", "too many fields"]
 
 
 def test_header_groups(spark, tmp_path):
@@ -89,9 +101,12 @@ def test_line_ends_inside_quotes(spark, tmp_path):
 
 def test_rss(spark):
     feed = "<rss><channel><item><title>A &amp; é</title><link>u</link><pubDate>d</pubDate></item><item><link>w</link></item></channel></rss>"
-    df = spark.createDataFrame([("k", feed), ("none", "<rss><channel></channel></rss>"), ("bad", "<rss")], "keyword string, feed string")
+    df = spark.createDataFrame([("k", feed), ("none", "<rss><channel></channel></rss>")], "keyword string, feed string")
     got = [tuple(r) for r in feeds.rss_items(df).collect()]
     assert got == [("k", "A & ?", "u", "d"), ("k", None, "w", None)]
+    bad = spark.createDataFrame([("bad", feed[:-20])], df.schema)
+    with pytest.raises(Exception, match="MALFORMED"):
+        feeds.rss_items(bad).collect()
 
 
 HEAD = "<tr><th>Filer Name</th><th>Id</th></tr>"
