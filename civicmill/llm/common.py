@@ -66,10 +66,11 @@ def labelled_sample(docs, labels, label, per_value, max_chars):
 
     At most ``per_value`` documents of each value, with texts of up to ``max_chars`` characters.
     The ids are chosen first, so the broadcast side has a fixed bound; the texts are read once.
+    Of several texts of one id the smallest counts, so repeated rows do not enlarge the sample.
     """
     ids = first_of_each(learnable(docs, labels, label), "value", per_value, F.xxhash64("doc_id"), "doc_id")
     texts = pick(docs, "doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    return texts.join(F.broadcast(ids), "doc_id")
+    return texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "value").agg(F.min("text").alias("text"))
 
 
 def map_batches(df, keep, fields, start):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civicmill.llm import (
-    components, decontaminate, html_main, languages, line_dedup, packing, quality_rules, sharding, simhash, site_quality, toxicity)
+    common, components, decontaminate, html_main, languages, line_dedup, packing, quality_rules, sharding, simhash, site_quality, toxicity)
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, shard string"
@@ -336,3 +336,10 @@ def test_fractional_solution_and_rounding():
         for length in configuration:
             used[length] += number
     assert used == {3: 40, 4: 25, 6: 25, 7: 40} and sum(n for _, n in chosen) == 65
+
+
+def test_repeated_rows_do_not_enlarge_the_labelled_sample(spark):
+    docs = documents(spark, [(i % 9, f"text {i % 2}") for i in range(600)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)] * 3, "doc_id long, toxic int")
+    rows = common.labelled_sample(docs, labels, "toxic", 50, 1000).collect()
+    assert len(rows) == len({r["doc_id"] for r in rows}) and {r["text"] for r in rows} == {"text 0"}
