@@ -1,14 +1,88 @@
 """Entity sentiment and keyword tags of articles, from a gazetteer and a polarity lexicon."""
 
+import re
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicmill.operators.lookup import single_valued
-from civicmill.operators.sizes import small_side
+from civicmill.operators.sizes import is_small, small_side
 
 MIN_SALIENCE = 0.001
-LITERAL_WORDS = 2_000
 SENTENCE_END = r"[.!?\n]+"
 BETWEEN_WORDS = r"[^\p{L}\p{N}']+"
+SENTENCES = re.compile(SENTENCE_END)
+WORDS = re.compile(r"(?:[^\W_]|')+")
+ENTITIES = T.ArrayType(T.StructType([
+    T.StructField("name", T.StringType()), T.StructField("salience", T.DoubleType()), T.StructField("score", T.DoubleType()),
+    T.StructField("magnitude", T.DoubleType()), T.StructField("wikipedia_url", T.StringType())]))
+
+
+def _known_words(gazetteer, lexicon):
+    """(word, name, wikipedia_url, polarity): one row per lower-case word or run of words."""
+    names = single_valued(gazetteer.select(F.lower("name").alias("word"), "name", "wikipedia_url"), ["word"], ["name", "wikipedia_url"])
+    terms = single_valued(lexicon.select(F.lower("term").alias("word"), "polarity"), ["word"], ["polarity"])
+    return names.join(terms, "word", "full").where(F.col("word").isNotNull())
+
+
+def _entities(text, known, firsts, longest, min_salience):
+    """Scored entities of one lower-case text, most salient first; ``firsts`` are the words known runs begin with."""
+    found = {}
+    for line in SENTENCES.split(text):
+        words = WORDS.findall(line)
+        if firsts.isdisjoint(words):
+            continue
+        named, polarities = Counter(), []
+        for at, word in enumerate(words):
+            if word not in firsts:
+                continue
+            for size in range(1, min(longest, len(words) - at) + 1):
+                run = word if size == 1 else " ".join(words[at:at + size])
+                if run in known:
+                    name, _, polarity = known[run]
+                    named[run] += name is not None
+                    if polarity is not None:
+                        polarities.append(polarity)
+        mean = sum(polarities) / len(polarities) if polarities else 0.0
+        for run in +named:
+            found.setdefault(run, []).append((named[run], mean))
+    mentions = {run: sum(n for n, _ in seen) for run, seen in found.items()}
+    total = sum(mentions.values())
+    rows = [
+        (known[run][0], mentions[run] / total, sum(m for _, m in seen) / len(seen), sum(abs(m) for _, m in seen), known[run][1])
+        for run, seen in found.items()
+    ]
+    return sorted((r for r in rows if r[1] > min_salience), key=lambda r: (-r[1], r[0]))
+
+
+def entity_sentiment(articles, gazetteer, lexicon, text="text", longest=1, min_salience=MIN_SALIENCE):
+    """Articles with text, plus ``entities``: their scored entities, most salient first.
+
+    ``gazetteer`` has (name, wikipedia_url), ``lexicon`` (term, polarity); both match lower-case
+    words.  A sentence's polarity is the mean over its lexicon words, 0 without any.  Salience
+    is the entity's share of all mentions in the article, score the mean and magnitude the sum
+    of the absolute polarities of the sentences that name it.  Articles without text are left
+    out, as are entities whose salience does not exceed ``min_salience``.
+
+    Everything follows from one article, so nothing is shuffled: the words of both tables are
+    sent to the tasks once.  Tables beyond the size check are refused; for them there is
+    ``score_entities_by_join``.
+    """
+    words = _known_words(gazetteer, lexicon)
+    if not is_small(words):
+        raise ValueError("the gazetteer and lexicon are too large to broadcast: use score_entities_by_join")
+    rows = {r["word"]: (r["name"], r["wikipedia_url"], r["polarity"]) for r in words.collect()}
+    shared = articles.sparkSession.sparkContext.broadcast((rows, {word.split(" ")[0] for word in rows}))
+
+    @F.pandas_udf(ENTITIES)
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series([_entities(t or "", *shared.value, longest, min_salience) for t in texts], dtype=object)
+
+    # Spark would copy a deterministic function into the filter that unnesting implies, and run it twice.
+    once = score.asNondeterministic()
+    return articles.where(F.length(text) > 0).withColumn("entities", once(F.lower(text)))
 
 
 def word_runs(words, longest):
@@ -22,30 +96,18 @@ def word_runs(words, longest):
     return runs
 
 
-def score_entities(articles, gazetteer, lexicon, key, text="text", longest=1, min_salience=MIN_SALIENCE):
+def score_entities_by_join(articles, gazetteer, lexicon, key, text="text", longest=1, min_salience=MIN_SALIENCE):
     """(key, name, salience, score, magnitude, wikipedia_url) per entity an article names.
 
-    ``gazetteer`` has (name, wikipedia_url), ``lexicon`` (term, polarity); both match lower-case
-    words.  A sentence's polarity is the mean over its lexicon words, 0 without any.  Salience
-    is the entity's share of all mentions in the article, score the mean and magnitude the sum
-    of the absolute polarities of the sentences that name it.  Articles without text are left
-    out, as are entities whose salience does not exceed ``min_salience``.
-
-    Only words found in one of the two tables leave the scan's tasks, and one shuffle by
-    article serves every grouping.  ``key`` must be unique per article.
+    The same scores as ``entity_sentiment`` for a gazetteer and lexicon of any size: the words of
+    the articles are joined with them, and one shuffle by article serves every grouping.  ``key``
+    must be unique per article.
     """
-    names = single_valued(gazetteer.select(F.lower("name").alias("word"), "name", "wikipedia_url"), ["word"], ["name", "wikipedia_url"])
-    terms = single_valued(lexicon.select(F.lower("term").alias("word"), "polarity"), ["word"], ["polarity"])
-    known = names.join(terms, "word", "full")
-
+    known = _known_words(gazetteer, lexicon)
     sentences = articles.where(F.length(text) > 0).select(key, F.posexplode(F.split(F.lower(text), SENTENCE_END)).alias("sentence", "line"))
     # Splitting between words leaves empty strings at the ends of a line only; they match nothing.
     words = sentences.select(key, "sentence", F.split("line", BETWEEN_WORDS).alias("words"))
     runs = word_runs(F.col("words"), longest)
-    listed = [row["word"] for row in known.select("word").limit(LITERAL_WORDS + 1).collect()]
-    if 0 < len(listed) <= LITERAL_WORDS:
-        # A short vocabulary is a hash set of the plan: other words are not even unpacked.
-        runs = F.filter(runs, lambda run: run.isin(listed))
     found = words.select(key, "sentence", F.explode(runs).alias("word"))
     found = found.join(small_side(known), "word").select(key, "sentence", "name", "wikipedia_url", "polarity")
 
@@ -71,21 +133,6 @@ def score_entities(articles, gazetteer, lexicon, key, text="text", longest=1, mi
     return flat.where(F.col("salience") > min_salience)
 
 
-def entity_sentiment(articles, gazetteer, lexicon, key, text="text", longest=1, min_salience=MIN_SALIENCE):
-    """Articles with text, plus ``entities``: their scored entities, most salient first.
-
-    The array of an article is bounded by the words of its own text.
-    """
-    scored = score_entities(articles, gazetteer, lexicon, key, text, longest, min_salience)
-    fields = ("name", "salience", "score", "magnitude", "wikipedia_url")
-    nested = F.collect_list(F.struct(-F.col("salience"), *fields))
-    ordered = F.transform(F.sort_array(nested), lambda e: F.struct(*[e[f].alias(f) for f in fields]))
-    arrays = scored.groupBy(key).agg(ordered.alias("entities"))
-    none = F.lit([]).cast("array<struct<name:string,salience:double,score:double,magnitude:double,wikipedia_url:string>>")
-    joined = articles.where(F.length(text) > 0).join(arrays, key, "left")
-    return joined.withColumn("entities", F.coalesce("entities", none))
-
-
 def keyword_articles(articles, keywords, text="text"):
     """One row per keyword and article whose text contains it.
 

@@ -39,15 +39,9 @@ def articles(feeds, pages):
 
 
 def semantic(rows, gazetteer, lexicon, longest=2):
-    """Article rows (keyword, title, link, pubDate, text) to the news table.
-
-    An address is scored once however many keywords found it.
-    """
-    texts = rows.where(F.length("text") > 0)
-    single = texts.groupBy("link").agg(F.max("text").alias("text"))
-    scored = entity_sentiment(single, gazetteer, lexicon, "link", longest=longest)
-    joined = texts.drop("text").join(scored, "link")
-    plain = joined.select(
+    """Article rows (keyword, title, link, pubDate, text) to the news table; nothing is shuffled."""
+    scored = entity_sentiment(rows, gazetteer, lexicon, longest=longest)
+    plain = scored.select(
         "keyword",
         ascii_text(F.col("title")).alias("title"),
         ascii_text(F.col("link")).alias("url"),

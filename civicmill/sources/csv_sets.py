@@ -2,14 +2,12 @@
 
 import csv
 import re
-from functools import reduce
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicmill.functions.casts import conform
-
-GLOB_CHARS = re.compile(r"[][{}*?\\]")  # escaped, because readers take paths as patterns
+from civicmill.operators.sizes import small_side
+from civicmill.session import cut
 
 
 def _header_reader(spark, multiline):
@@ -41,42 +39,43 @@ def read_encoded_lines(spark, path, encoding="ISO-8859-1"):
     return spark.read.text(path).select(F.decode(F.col("value").cast("binary"), encoding).alias("value"))
 
 
-def file_path():
-    """Path of the file a row comes from; Spark gives it percent-encoded."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+def decoded(file):
+    """A path as Spark's file metadata has it, without percent encoding."""
+    return F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
 
 
-def select_files(files, excluded=(), path="path"):
-    """Keep CSV files whose path does not name an excluded file."""
+def select_files(files, folder, excluded=(), path="path"):
+    """Keep CSV files; ``excluded`` names files or folders by their exact path below ``folder``."""
     keep = F.contains(F.col(path), F.lit(".csv"))
+    root = re.sub(r"^[\w+.-]+:(//[^/]*)?", "", folder).rstrip("/")
     for name in excluded:
-        keep = keep & ~F.contains(F.col(path), F.lit(f"/{name}"))
+        whole = F.lit(f"{root}/{name}")
+        keep = keep & ~(F.endswith(F.col(path), whole) | F.contains(F.col(path), F.concat(whole, F.lit("/"))))
     return files.where(keep)
 
 
-def _first_of_each(batches):
-    last = None
-    for batch in batches:
-        if len(batch):
-            begins = batch["path"] != batch["path"].shift(fill_value=last)
-            last = batch["path"].iloc[-1]
-            yield batch[begins]
-
-
-def discover_headers(spark, path, excluded=()):
-    """(path, header): the first line of every CSV file under a folder.
+def _first_lines(spark, folder, excluded=()):
+    """(file, path, header): the first line with text of every CSV file under a folder.
 
-    Each task keeps the first row of the first split of a file, which it reads in order,
-    so this is one narrow pass that moves one line per file.
+    One task reads the first split of a file in order, so the line of the smallest row id is the
+    header; each task sends one row per file that it began.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
-        file_path().alias("path"),
+    lines = spark.read.option("recursiveFileLookup", True).text(folder).select(
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         "value",
+        F.monotonically_increasing_id().alias("row"),
     )
-    first = select_files(lines, excluded).where(F.col("start") == 0).select("path", "value")
-    first = first.mapInPandas(_first_of_each, "path string, value string")
-    return first.select("path", F.regexp_replace("value", r"^\x{FEFF}|\r$", "").alias("header"))
+    begun = lines.where((F.col("start") == 0) & (F.trim("value") != ""))
+    first = begun.groupBy("file").agg(F.min_by("value", "row").alias("value"))
+    header = F.regexp_replace("value", r"^\x{FEFF}|\r$", "")
+    named = first.select("file", decoded(F.col("file")).alias("path"), header.alias("header"))
+    return select_files(named, folder, excluded)
+
+
+def discover_headers(spark, path, excluded=()):
+    """(path, header): the first line with text of every CSV file under a folder."""
+    return _first_lines(spark, path, excluded).select("path", "header")
 
 
 def header_columns(header):
@@ -107,26 +106,28 @@ def rename_aliases(columns, aliases):
 def read_header_groups(spark, path, schema, aliases=None, excluded=(), filename="filename", multiline=False):
     """Union by column name of all CSV files under a folder, as text columns of ``schema``.
 
-    One reader per distinct header, because a reader given files of several headers would
-    match their columns by position.  The file list stays with the readers, which list
-    their input on the driver anyway; rows never pass through it.
+    Only the distinct headers come to the driver.  One scan reads the cells of all files by their
+    place in the line; the header of a row's file, looked up by its path, says which place holds
+    which column.  Columns that no header names are left out.
     """
-    groups = {}
-    for row in discover_headers(spark, path, excluded).collect():
-        groups.setdefault(row["header"], []).append(GLOB_CHARS.sub(r"\\\g<0>", row["path"]))
-    if not groups:
+    files = cut(_first_lines(spark, path, excluded))
+    headers = sorted(row["header"] for row in files.select("header").distinct().collect())
+    if not headers:
         fields = [T.StructField(f.name, T.StringType()) for f in schema.fields]
         return spark.createDataFrame([], T.StructType(fields))
-    parts = []
-    for header, paths in sorted(groups.items()):
+    forms_of, width = {}, 0  # {column: {place: forms}}
+    for form, header in enumerate(headers, 1):
         unique = distinct_names(header_columns(header))
-        text = T.StructType([T.StructField(name, T.StringType()) for name in unique])
-        rows = _header_reader(spark, multiline).schema(text).csv(paths)
-        wanted = [(s, t) for s, t in rename_aliases(unique, aliases or {}) if t in schema.names]
-        parts.append(
-            rows.select(
-                *[F.col(f"`{source}`").alias(target) for source, target in wanted],
-                file_path().alias(filename),
-            )
-        )
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        width = max(width, len(unique))
+        for source, target in rename_aliases(unique, aliases or {}):
+            forms_of.setdefault(target, {}).setdefault(unique.index(source), []).append(form)
+    cells = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    rows = _header_reader(spark, multiline).option("recursiveFileLookup", True).schema(cells).csv(path)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("file"))
+    form = F.array_position(F.array(*[F.lit(h) for h in headers]), F.col("header"))
+    known = files.select("file", "path", form.alias("form"))
+    found = [
+        F.coalesce(*[F.when(F.col("form").isin(forms), F.col(f"c{place}")) for place, forms in forms_of[name].items()]).alias(name)
+        for name in schema.names if name in forms_of
+    ]
+    return rows.join(small_side(known), "file").select(*found, F.col("path").alias(filename))

@@ -106,7 +106,7 @@ def entities(spark, sf_dir):
     """Entities of every document, unnested."""
     gazetteer = spark.createDataFrame(GAZETTEER, "name string, wikipedia_url string")
     lexicon = spark.createDataFrame(LEXICON, "term string, polarity double")
-    scored = entity_sentiment(read(spark, sf_dir, "documents"), gazetteer, lexicon, "doc_id", longest=2)
+    scored = entity_sentiment(read(spark, sf_dir, "documents"), gazetteer, lexicon, longest=2)
     return scored.select("doc_id", F.inline("entities")).select(
         "doc_id", "name", "wikipedia_url", *[F.round(n, 10).alias(n) for n in ("salience", "score", "magnitude")]
     )

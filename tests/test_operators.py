@@ -155,19 +155,31 @@ def test_entities(spark):
     )
     names = spark.createDataFrame([("Ann Lee", "http://w/a"), ("Bo", None)], "name string, wikipedia_url string")
     terms = spark.createDataFrame([("good", 1.0), ("bad", -0.5), ("won", 0.25)], "term string, polarity double")
-    got = entities.entity_sentiment(articles, names, terms, "id", longest=2).orderBy("id").collect()
+    got = entities.entity_sentiment(articles, names, terms, longest=2).orderBy("id").collect()
     assert [(r["id"], [tuple(e) for e in r["entities"]]) for r in got] == [
         (1, [("Ann Lee", 2 / 3, 0.625, 1.25, "http://w/a"), ("Bo", 1 / 3, -0.5, 0.5, None)]), (4, []), (5, [("Bo", 1.0, 0.0, 0.0, None)]),
     ]
 
 
-def test_salience_bound_is_exclusive_and_long_vocabularies_join(spark, monkeypatch):
-    monkeypatch.setattr(entities, "LITERAL_WORDS", 1)
-    articles = spark.createDataFrame([(1, "x " * 999 + "y")], "id int, text string")
-    names = spark.createDataFrame([("x", None), ("y", None)], "name string, wikipedia_url string")
-    terms = spark.createDataFrame([], "term string, polarity double")
-    got = entities.score_entities(articles, names, terms, "id").collect()
-    assert [(r["name"], r["salience"]) for r in got] == [("x", 0.999)]
+def test_salience_bound_is_exclusive_and_both_ways_agree(spark):
+    articles = spark.createDataFrame([(1, "x " * 999 + "y"), (2, "x_y bad. 'Tis bad É é x! y z"), (3, "z")], "id int, text string")
+    names = spark.createDataFrame([("x", None), ("y", "u"), ("É é", "v"), (None, "w")], "name string, wikipedia_url string")
+    terms = spark.createDataFrame([("bad", -0.5), ("x", 1.0), ("'tis", 0.25)], "term string, polarity double")
+    nested = entities.entity_sentiment(articles, names, terms, longest=2)
+    flat = nested.select("id", F.inline("entities"))
+    plan = flat._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
+    plain = sorted(map(tuple, flat.collect()), key=str)
+    assert [r[1:3] for r in plain if r[0] == 1] == [("x", 0.999)]
+    joined = entities.score_entities_by_join(articles, names, terms, "id", longest=2)
+    assert plain == sorted(map(tuple, joined.collect()), key=str)
+
+
+def test_large_vocabularies_are_refused_by_the_broadcast_form(spark, monkeypatch):
+    monkeypatch.setattr(entities, "is_small", lambda df: False)
+    empty = spark.createDataFrame([], "name string, wikipedia_url string, term string, polarity double, text string")
+    with pytest.raises(ValueError, match="score_entities_by_join"):
+        entities.entity_sentiment(empty, empty, empty)
 
 
 def test_keywords(spark):

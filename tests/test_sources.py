@@ -74,13 +74,15 @@ def test_header_groups(spark, tmp_path):
     write(base, "2001/20011399__ny__town.csv", "﻿votes,disctrict,district,county,absentee,absentee_hc,absentee_military_votes\r\n12.0,9,1,Lake,1,,3\r\n")
     write(base, "other/notes.csv", "affidavit,county,,affidavit_votes,county\n3,Nowhere,,4,Ulster\n")
     write(base, "county_matrix.csv", "county\nKept out\n")
+    write(base, "2016/county_matrix.csv", "county\nOneida\n")
+    write(base, "county_matrix.csv.v2.csv", "\ncounty\nMonroe\n")
     write(base, "readme.txt", "county\nNot a csv\n")
     loaded = datetime(2020, 1, 2, tzinfo=timezone.utc)
     rows = csv_sets.read_header_groups(spark, f"{base}", schemas.RESULTS, results.ALIASES, results.EXCLUDED)
     table = results.format_results(rows, loaded)
     assert table.schema.names == schemas.RESULTS.names
     got = {r["county"]: r for r in table.collect()}
-    assert set(got) == {"Kings", "Bronx", "Erie", "Lake", "Ulster"}
+    assert set(got) == {"Kings", "Bronx", "Erie", "Lake", "Ulster", "Oneida", "Monroe"}
     pick = lambda county, *names: tuple(got[county][n] for n in names)
     assert pick("Kings", "votes", "absentee_military_votes", "election_date", "state", "scope") == (None, 5, date(2000, 11, 7), "NY", "general")
     assert pick("Bronx", "votes", "absentee_military_votes") == (12, None)
