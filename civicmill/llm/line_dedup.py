@@ -11,12 +11,14 @@ A template found in more than one document recurs; its lines stay in the first d
 
 from pyspark.sql import functions as F
 
-from civicmill.llm.common import WORD, bind, pick, words_of
+from civicmill.llm.common import OTHER_BLANKS, WORD, bind, pick
 from civicmill.session import cut
 
 DEPTH = 3           # leading tokens that the tree looks at
 SLOTS = 12          # slots that the other tokens of a line are cut into
 AGREE = 70          # percent of the slots that must equal the template
+# A token with a digit; it is looked for at the beginnings of tokens only.
+VARIABLE = "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*"
 LEAST_TOKENS = 4    # shorter lines have too little structure for a template and always stay
 
 
@@ -31,10 +33,17 @@ def parsed_lines(docs, depth=DEPTH, slots=SLOTS, least_tokens=LEAST_TOKENS):
 
     ``slots`` always has the same number of values; those a short line does not need are null.
     """
-    lines = with_key(docs).select("doc_id", "doc_key", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace(
-        "line", "[^\\x20\\x09-\\x0D]*[0-9][^\\x20\\x09-\\x0D]*", "<*>")).otherwise(F.col("line"))
-    words = lines.select("doc_id", "doc_key", "pos", words_of(masked).alias("words")).where(F.size("words") >= least_tokens)
+    text = F.col("text")
+    for c in OTHER_BLANKS.replace("\n", ""):
+        text = F.replace(text, F.lit(c), F.lit(" "))
+
+    def words_in(line):
+        masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, "<*>")).otherwise(line)
+        return F.array_remove(F.split(masked, " "), "")
+
+    # made in the generator, which is evaluated once: a plain column would be made again by the filter below
+    lines = with_key(docs).select("doc_id", "doc_key", F.posexplode(F.transform(F.split(text, "\n"), words_in)).alias("pos", "words"))
+    words = lines.where(F.size("words") >= least_tokens)
     rest = F.size("words") - depth
     count = F.greatest(F.least(rest, F.lit(slots)), F.lit(1))
 
