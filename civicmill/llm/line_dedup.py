@@ -19,7 +19,7 @@ SLOTS = 12          # slots that the other tokens of a line are cut into
 AGREE = 70          # percent of the slots that must equal the template
 # A token with a digit; it is looked for at the beginnings of tokens only.
 VARIABLE = "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*"
-LEAST_TOKENS = 4    # shorter lines have too little structure for a template and always stay
+LEAST_TOKENS = 4    # of the SQL of op2_line_dedup, where shorter lines always stay; the pipeline has no such bound
 
 
 def with_key(docs, *extra):
@@ -96,15 +96,17 @@ def dropped_lines(lines):
     return later.groupBy("doc_id", "doc_key").agg(F.collect_set("pos").alias("dropped"))
 
 
-def drop_recurring_lines(docs, *extra):
+def drop_recurring_lines(docs, *extra, least_tokens=LEAST_TOKENS):
     """(doc_id, text, extra columns, n_lines, n_dropped, emptied), one row per row of ``docs`` (doc_id, text).
 
     ``text`` is without the dropped lines.  ``emptied`` says that no word is left of a text that
     lost lines: all of it stands in earlier documents.  The first document is the one with the
     smallest id, null ids before all others.  A null text stays null and has no lines; equal rows
-    are one document and get equal results; an empty table gives no rows.
+    are one document and get equal results; an empty table gives no rows.  Lines of fewer than
+    ``least_tokens`` tokens stay; with 1 only lines without a word do, and a line of up to ``DEPTH``
+    tokens is its own template.
     """
-    lines = cut(parsed_lines(docs))
+    lines = cut(parsed_lines(docs, least_tokens=least_tokens))
     gone = dropped_lines(lines).select(F.col("doc_key").alias("gone_key"), F.col("doc_id").alias("gone_id"), "dropped")
     rows = with_key(docs, *extra)
     same = (F.col("doc_key") == F.col("gone_key")) & F.col("doc_id").eqNullSafe(F.col("gone_id"))

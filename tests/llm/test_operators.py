@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,12 @@ def test_lines(spark):
     assert got[4][2] == 0 and got[5] == ("", 1, 1, True)
 
 
+def test_short_lines_of_the_pipeline(spark):
+    docs = documents(spark, [(1, "All rights reserved.\nPage 3\nalone"), (2, "All rights reserved.\n\nPage 14\nother"), (3, "All rights reserved")])
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.dedup_lines(spark, docs, None).collect()}
+    assert got == {1: "All rights reserved.\nPage 3\nalone", 2: "\nother", 3: "All rights reserved"}
+
+
 def test_languages_on_held_out_documents(spark):
     docs = table(spark, "documents")
     got = languages.language_digest(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
