@@ -1,10 +1,10 @@
 """Line dedup with a log-template tree.
 
 A line goes down a tree of fixed depth: by its number of tokens, then by its leading tokens, where
-a token with a digit counts as a variable field.  The lines of a leaf vote on the rest: the
-remaining tokens are cut into at most ``SLOTS`` slots, and a slot keeps the value that more than
-half of the leaf's distinct lines have, or becomes a variable field.  A line that agrees with
-enough slots has the leaf's template, any other line is a template of its own.
+a token with a digit counts as a variable field.  The lines of a leaf vote on the rest: a token
+keeps the value that more than half of the leaf's distinct lines have, or becomes a variable
+field.  A line that agrees with enough tokens has the leaf's template, any other line is a template
+of its own.  The SQL of op2_line_dedup cuts the rest into at most ``SLOTS`` slots that vote instead.
 
 A template found in more than one document recurs; its lines stay in the first document only.
 """
@@ -15,8 +15,8 @@ from civicmill.llm.common import OTHER_BLANKS, WORD, bind, pick
 from civicmill.session import cut
 
 DEPTH = 3           # leading tokens that the tree looks at
-SLOTS = 12          # slots that the other tokens of a line are cut into
-AGREE = 70          # percent of the slots that must equal the template
+SLOTS = 12          # slots that the SQL of op2_line_dedup cuts the other tokens of a line into
+AGREE = 70          # percent of the slots or tokens that must equal the template
 # A token with a digit; it is looked for at the beginnings of tokens only.
 VARIABLE = "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*"
 LEAST_TOKENS = 4    # of the SQL of op2_line_dedup, where shorter lines always stay; the pipeline has no such bound
@@ -28,11 +28,8 @@ def with_key(docs, *extra):
     return rows.withColumn("doc_key", F.xxhash64("doc_id", "text"))
 
 
-def parsed_lines(docs, depth=DEPTH, slots=SLOTS, least_tokens=LEAST_TOKENS):
-    """(doc_id, doc_key, pos, leaf, line_key, slots) of every line of enough tokens.
-
-    ``slots`` always has the same number of values; those a short line does not need are null.
-    """
+def line_words(docs, depth=DEPTH, least_tokens=1):
+    """(doc_id, doc_key, pos, words, leaf, line_key) of every line of enough tokens."""
     text = F.col("text")
     for c in OTHER_BLANKS.replace("\n", ""):
         text = F.replace(text, F.lit(c), F.lit(" "))
@@ -43,7 +40,16 @@ def parsed_lines(docs, depth=DEPTH, slots=SLOTS, least_tokens=LEAST_TOKENS):
 
     # made in the generator, which is evaluated once: a plain column would be made again by the filter below
     lines = with_key(docs).select("doc_id", "doc_key", F.posexplode(F.transform(F.split(text, "\n"), words_in)).alias("pos", "words"))
-    words = lines.where(F.size("words") >= least_tokens)
+    return lines.where(F.size("words") >= least_tokens).select(
+        "doc_id", "doc_key", "pos", "words", F.xxhash64(F.size("words"), F.slice("words", 1, depth)).alias("leaf"),
+        F.xxhash64("words").alias("line_key"))
+
+
+def parsed_lines(docs, depth=DEPTH, slots=SLOTS, least_tokens=LEAST_TOKENS):
+    """(doc_id, doc_key, pos, leaf, line_key, slots) of every line of enough tokens.
+
+    ``slots`` always has the same number of values; those a short line does not need are null.
+    """
     rest = F.size("words") - depth
     count = F.greatest(F.least(rest, F.lit(slots)), F.lit(1))
 
@@ -53,19 +59,22 @@ def parsed_lines(docs, depth=DEPTH, slots=SLOTS, least_tokens=LEAST_TOKENS):
         end = F.ceil((j + 1) * rest / count).cast("int")
         return F.when(rest > j, F.hash(F.slice("words", start + depth + 1, end - start)))
 
-    return words.select(
-        "doc_id", "doc_key", "pos", F.xxhash64(F.size("words"), F.slice("words", 1, depth)).alias("leaf"),
-        F.xxhash64("words").alias("line_key"), F.array(*[slot(j) for j in range(slots)]).alias("slots"))
+    return line_words(docs, depth, least_tokens).select(
+        "doc_id", "doc_key", "pos", "leaf", "line_key", F.array(*[slot(j) for j in range(slots)]).alias("slots"))
+
+
+def forked(lines, group="leaf"):
+    """The groups with different lines; only they need a template."""
+    return lines.groupBy(group).agg(F.min("line_key").alias("a"), F.max("line_key").alias("b")).where("a != b").select(group)
 
 
 def leaf_templates(lines):
-    """(leaf, template): per slot the value of more than half of the leaf's distinct lines, or null.
+    """(leaf, template): per slot the value of more than half of the leaf's distinct lines, or null."""
+    return voted(lines.join(forked(lines), "leaf", "left_semi").groupBy("leaf", "line_key").agg(F.any_value("slots").alias("slots")))
 
-    Only leaves with different lines need one.  Votes are counted per value before the shuffle.
-    """
-    forked = lines.groupBy("leaf").agg(F.min("line_key").alias("a"), F.max("line_key").alias("b")).where("a != b")
-    distinct = lines.join(forked.select("leaf"), "leaf", "left_semi").groupBy("leaf", "line_key").agg(
-        F.any_value("slots").alias("slots"))
+
+def voted(distinct):
+    """(leaf, template) of distinct lines; votes are counted per value before the shuffle."""
     votes = distinct.select("leaf", F.posexplode("slots").alias("slot", "value")).where("value is not null").groupBy("leaf", "slot", "value").agg(
         F.count("*").alias("votes"))
     slots = votes.groupBy("leaf", "slot").agg(
@@ -77,6 +86,27 @@ def leaf_templates(lines):
         F.sort_array(F.collect_list(F.struct("slot", kept.alias("value"))))["value"].alias("template"))
 
 
+def token_templates(docs, lines, agree=AGREE):
+    """(line_key, template_id) of the lines that agree with their leaf's template, token by token.
+
+    Every token behind the leading ones votes and is compared by itself.  The tokens are read
+    from ``docs`` once more, and only those of forked leaves are kept.
+    """
+    tokens = F.transform(F.slice("words", DEPTH + 1, F.size("words")), lambda token: F.hash(token))
+    distinct = cut(line_words(docs).select("leaf", "line_key", tokens.alias("slots")).join(
+        forked(lines), "leaf", "left_semi").groupBy("leaf", "line_key").agg(F.any_value("slots").alias("slots")))
+    equal = F.size(F.filter(F.zip_with("slots", "template", lambda a, b: a == b), lambda same: same))
+    return distinct.join(voted(distinct), "leaf").where(100 * equal >= agree * F.size("template")).select(
+        "line_key", F.xxhash64("leaf", "template").alias("template_id"))
+
+
+def templated_by_token(docs):
+    """(doc_id, doc_key, pos, template_id) of every line with a word: its template, else the line's own."""
+    lines = cut(line_words(docs).drop("words"))
+    found = lines.join(token_templates(docs, lines), "line_key", "left")
+    return found.select("doc_id", "doc_key", "pos", F.coalesce("template_id", "line_key").alias("template_id"))
+
+
 def templated(lines, agree=AGREE):
     """(doc_id, doc_key, pos, template_id): the leaf's template where the line agrees, else the line's own."""
     with_template = lines.join(leaf_templates(lines), "leaf", "left")
@@ -86,28 +116,38 @@ def templated(lines, agree=AGREE):
     return with_template.select("doc_id", "doc_key", "pos", template_id.alias("template_id"))
 
 
-def dropped_lines(lines):
+def dropped_lines(found):
     """(doc_id, doc_key, dropped): places of the lines whose template has its first document elsewhere."""
     document = F.struct("doc_id", "doc_key")
-    found = templated(lines)
     recurring = found.groupBy("template_id").agg(F.min(document).alias("first"), F.max(document).alias("last")).where(
         "first != last").select("template_id", F.col("first")["doc_key"].alias("first_key"))
     later = found.join(recurring, "template_id").where(F.col("doc_key") != F.col("first_key"))
     return later.groupBy("doc_id", "doc_key").agg(F.collect_set("pos").alias("dropped"))
 
 
-def drop_recurring_lines(docs, *extra, least_tokens=LEAST_TOKENS):
+def drop_recurring_lines(docs, *extra):
+    """Drop by the slots that the SQL of op2_line_dedup describes: at most ``SLOTS``, lines of ``LEAST_TOKENS`` tokens on.
+
+    The result is that of ``drop_all_recurring_lines``, with fewer lines found.
+    """
+    return without_lines(docs, dropped_lines(templated(cut(parsed_lines(docs)))), extra)
+
+
+def drop_all_recurring_lines(docs, *extra):
     """(doc_id, text, extra columns, n_lines, n_dropped, emptied), one row per row of ``docs`` (doc_id, text).
 
     ``text`` is without the dropped lines.  ``emptied`` says that no word is left of a text that
     lost lines: all of it stands in earlier documents.  The first document is the one with the
     smallest id, null ids before all others.  A null text stays null and has no lines; equal rows
-    are one document and get equal results; an empty table gives no rows.  Lines of fewer than
-    ``least_tokens`` tokens stay; with 1 only lines without a word do, and a line of up to ``DEPTH``
-    tokens is its own template.
+    are one document and get equal results; an empty table gives no rows.  Only lines without a
+    word are exempt; a line of up to ``DEPTH`` tokens is its own template.
     """
-    lines = cut(parsed_lines(docs, least_tokens=least_tokens))
-    gone = dropped_lines(lines).select(F.col("doc_key").alias("gone_key"), F.col("doc_id").alias("gone_id"), "dropped")
+    return without_lines(docs, dropped_lines(templated_by_token(docs)), extra)
+
+
+def without_lines(docs, dropped, extra):
+    """``docs`` without the dropped lines, and what became of each text."""
+    gone = dropped.select(F.col("doc_key").alias("gone_key"), F.col("doc_id").alias("gone_id"), "dropped")
     rows = with_key(docs, *extra)
     same = (F.col("doc_key") == F.col("gone_key")) & F.col("doc_id").eqNullSafe(F.col("gone_id"))
     joined = rows.join(gone, same, "left").withColumn("lines", F.split("text", "\n"))

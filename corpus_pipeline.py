@@ -6,7 +6,7 @@ read again as the next one's ``docs``.  All but the last return the columns of `
 
 from civicmill.llm.common import table
 from civicmill.llm.decontaminate import scan_documents
-from civicmill.llm.line_dedup import drop_recurring_lines
+from civicmill.llm.line_dedup import drop_all_recurring_lines
 from civicmill.llm.packing import pack_documents
 from civicmill.llm.simhash import one_of_each_group
 from civicmill.llm.site_quality import posteriors
@@ -26,7 +26,7 @@ def classify_quality(spark, docs, sf_dir):
 
 def dedup_lines(spark, docs, sf_dir):
     """Lines whose template stands in an earlier document go; a document without words left goes with them."""
-    cleaned = drop_recurring_lines(docs, "lang", "source", "n_chars", least_tokens=1).where("emptied is null or not emptied")
+    cleaned = drop_all_recurring_lines(docs, "lang", "source", "n_chars").where("emptied is null or not emptied")
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", n_chars).select(*COLUMNS)
 

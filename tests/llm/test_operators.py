@@ -113,6 +113,15 @@ def test_short_lines_of_the_pipeline(spark):
     assert got == {1: "All rights reserved.\nPage 3\nalone", 2: "\nother", 3: "All rights reserved"}
 
 
+def test_long_lines_of_the_pipeline_vote_token_by_token(spark):
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    changed = lambda places: " ".join("other" + w if i in places else w for i, w in enumerate(words))
+    lines = [" ".join(words), changed({8, 22, 36, 50}), changed({10, 24, 38, 52, 58}), "unlike " + changed({59})]
+    docs = documents(spark, enumerate(lines))
+    got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.drop_all_recurring_lines(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 1, 3: 0}
+
+
 def test_languages_on_held_out_documents(spark):
     docs = table(spark, "documents")
     got = languages.language_digest(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
