@@ -3,12 +3,15 @@
 A line goes down a tree of fixed depth: by its number of tokens, then by its leading tokens, where
 a token with a digit counts as a variable field.  The lines of a leaf vote on the rest: a token
 keeps the value that more than half of the leaf's distinct lines have, or becomes a variable
-field.  A line that agrees with enough tokens has the leaf's template, any other line is a template
-of its own.  The SQL of op2_line_dedup cuts the rest into at most ``SLOTS`` slots that vote instead.
+field.  A line that agrees with enough constant tokens has this template.  The others go down
+further levels, by the value of one more token, and vote again; a line that agrees nowhere is a
+template of its own.  The SQL of op2_line_dedup has one vote per leaf, over at most ``SLOTS`` slots.
 
 A template found in more than one document recurs; its lines stay in the first document only.
 """
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from civicmill.llm.common import OTHER_BLANKS, WORD, bind, pick
@@ -16,7 +19,8 @@ from civicmill.session import cut
 
 DEPTH = 3           # leading tokens that the tree looks at
 SLOTS = 12          # slots that the SQL of op2_line_dedup cuts the other tokens of a line into
-AGREE = 70          # percent of the slots or tokens that must equal the template
+AGREE = 70          # percent of the slots, or of the constant tokens, that must equal the template
+VARY = 40           # percent of the tokens behind the leading ones that may be variable fields
 # A token with a digit; it is looked for at the beginnings of tokens only.
 VARIABLE = "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*"
 LEAST_TOKENS = 4    # of the SQL of op2_line_dedup, where shorter lines always stay; the pipeline has no such bound
@@ -86,18 +90,55 @@ def voted(distinct):
         F.sort_array(F.collect_list(F.struct("slot", kept.alias("value"))))["value"].alias("template"))
 
 
-def token_templates(docs, lines, agree=AGREE):
-    """(line_key, template_id) of the lines that agree with their leaf's template, token by token.
+def token_votes(lines):
+    """(group, template, fork) of groups of different lines; votes are counted per value before the shuffle.
 
-    Every token behind the leading ones votes and is compared by itself.  The tokens are read
-    from ``docs`` once more, and only those of forked leaves are kept.
+    ``fork`` is the token to part the lines by that agree with no template: of those without a
+    majority the one with the fewest values, which is constant in a template that shares the group
+    with others; if all have one, that of the smallest majority.  So groups shrink by a constant factor.
     """
-    tokens = F.transform(F.slice("words", DEPTH + 1, F.size("words")), lambda token: F.hash(token))
-    distinct = cut(line_words(docs).select("leaf", "line_key", tokens.alias("slots")).join(
-        forked(lines), "leaf", "left_semi").groupBy("leaf", "line_key").agg(F.any_value("slots").alias("slots")))
+    votes = lines.select("group", F.posexplode("slots").alias("slot", "value")).groupBy("group", "slot", "value").agg(F.count("*").alias("votes"))
+    slots = votes.groupBy("group", "slot").agg(
+        F.max_by("value", F.struct("votes", "value")).alias("value"), F.max("votes").alias("most"),
+        F.sum("votes").alias("all"), F.count("*").alias("kinds"))
+    major = 2 * F.col("most") > F.col("all")
+    rank = F.struct(major.alias("major"), F.when(major, F.col("most")).otherwise(F.col("kinds")).alias("size"), "slot")
+    return slots.groupBy("group").agg(
+        F.sort_array(F.collect_list(F.struct("slot", F.when(major, F.col("value")).alias("value"))))["value"].alias("template"),
+        F.min(rank)["slot"].alias("fork"))
+
+
+def agrees(agree, vary):
+    """Is the line the template's: enough constant tokens equal, and not too many tokens variable?"""
     equal = F.size(F.filter(F.zip_with("slots", "template", lambda a, b: a == b), lambda same: same))
-    return distinct.join(voted(distinct), "leaf").where(100 * equal >= agree * F.size("template")).select(
-        "line_key", F.xxhash64("leaf", "template").alias("template_id"))
+    constant = F.size(F.filter("template", lambda value: value.isNotNull()))
+    return (100 * equal >= agree * constant) & (100 * (F.size("template") - constant) <= vary * F.size("template"))
+
+
+def token_templates(docs, lines, agree=AGREE, vary=VARY):
+    """(line_key, template_id) of the lines that have a template, token by token.
+
+    The tokens are read from ``docs`` once more, and only those of forked leaves are kept.  The
+    distinct lines of a leaf vote; those that agree have the template.  The others are parted by
+    the value of one token and vote again, until no group has different lines: a leaf has as many
+    templates as its lines do.  Each round reads only the lines still open and ends in a checkpoint.
+    """
+    tokens = F.transform(F.slice("words", DEPTH + 1, F.size("words")), lambda token: F.hash(token))
+    open_ = cut(line_words(docs).select(F.col("leaf").alias("group"), "line_key", tokens.alias("slots")).join(
+        forked(lines).withColumnRenamed("leaf", "group"), "group", "left_semi").groupBy("group", "line_key").agg(
+        F.any_value("slots").alias("slots")))
+    found = []
+    while True:
+        own = F.xxhash64("group", "template")
+        parted = F.xxhash64("group", "fork", F.get("slots", F.col("fork")))
+        judged = cut(open_.join(token_votes(open_), "group").withColumn("same", agrees(agree, vary)).select(
+            "same", "line_key", F.when(F.col("same"), own).otherwise(parted).alias("group"),
+            F.when(~F.col("same"), F.col("slots")).alias("slots")))
+        found.append(judged.where("same").select("line_key", F.col("group").alias("template_id")))
+        rest = judged.where("not same").drop("same")
+        open_ = cut(rest.join(forked(rest, "group"), "group", "left_semi"))
+        if open_.isEmpty():
+            return reduce(lambda a, b: a.unionAll(b), found)
 
 
 def templated_by_token(docs):

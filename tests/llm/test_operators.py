@@ -122,6 +122,18 @@ def test_long_lines_of_the_pipeline_vote_token_by_token(spark):
     assert got == {0: 0, 1: 1, 2: 1, 3: 0}
 
 
+def test_templates_of_one_leaf(spark):
+    names = [chr(97 + i // 26) + chr(97 + i % 26) + "x" for i in range(100)]
+    shared = [f"Share this page with {n} today" for n in names] + [f"Share this page on {n}.org now" for n in names]
+    unlike = [f"Share this page u{n} v{n} w{n}" for n in names]
+    few = [f"One two three {n} five {n}s seven eight" for n in names[:9]]
+    loose = [f"So it was a {n}" for n in names[:9]]
+    texts = shared + unlike + few + loose
+    rows = line_dedup.drop_all_recurring_lines(documents(spark, enumerate(texts))).collect()
+    kept = {texts[r["doc_id"]] for r in rows if not r["n_dropped"]}
+    assert kept == {shared[0], shared[100], few[0], *unlike, *loose}
+
+
 def test_languages_on_held_out_documents(spark):
     docs = table(spark, "documents")
     got = languages.language_digest(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
