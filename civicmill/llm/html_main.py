@@ -4,7 +4,8 @@ The page becomes a tree.  For every node the characters per tag below it are adj
 two nodes with the same characters and tags, the one with more of them in links is less dense.  A
 node's density sum adds the densities of its children.  The threshold is the smallest density on
 the path from the densest node to the body; of the nodes above it the one with the largest density
-sum holds the main text.  Parts that never belong to it are taken out of the tree first.
+sum holds the main text.  Parts that never belong to it are taken out of the tree first, and forms
+and parts with telling names where they do not hold the article or most of the text.
 """
 
 import math
@@ -21,26 +22,28 @@ from civicmill.llm.common import map_batches, pick
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set("""address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
-LEFT_OUT = set("""script style noscript template head title nav footer aside form button select textarea option iframe object
+LEFT_OUT = set("""script style noscript template head title nav footer aside button select textarea option iframe object
 embed svg canvas audio video menu dialog label input fieldset""".split())
 # Closed by an element of the same kind, looked for below the elements that hold them.
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
             "th": ("td", "th"), "option": ("option",)}
 HOLDERS = set("ul ol menu dl table tbody thead tfoot div section article body".split())
-# Words of class names, ids and roles that mark parts that are not main text.
-HINTS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|banner|breadcrumb|breadcrumbs|comment|comments|"
-    r"cookie|cookies|consent|disqus|footer|menu|nav|navbar|navigation|newsletter|notice|notices|pagination|popup|promo|promoted|"
-    r"related|reply|replies|respond|share|sharing|sidebar|signup|skip|social|sponsor|sponsored|subscribe|toolbar|widget|"
-    r"masthead|alert|complementary|contentinfo|search)(?:$|[\s_-])", re.I)
+# Class names, ids and roles of parts that are not main text, as whole words; a name
+# made of several of them by '-' or '_' is one too.
+HINTS = set("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent
+disqus footer menu nav navbar navigation newsletter notice notices pagination popup promo promoted related reply replies respond
+share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget masthead alert complementary contentinfo
+search""".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+MAIN = ("article", "main")
 BLANK = {"display:none", "visibility:hidden"}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum", "dropped")
+    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum", "dropped", "hinted")
 
-    def __init__(self, tag, parent, dropped=False):
-        self.tag, self.parent, self.children, self.dropped = tag, parent, [], dropped
+    def __init__(self, tag, parent, dropped=False, hinted=False):
+        self.tag, self.parent, self.children, self.dropped, self.hinted = tag, parent, [], dropped, hinted
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
@@ -51,13 +54,22 @@ def is_left_out(tag, attributes, inside_article):
     for name, value in attributes:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
-        if value and name in ("class", "id", "role") and tag not in ("body", "html", "article", "main") and HINTS.search(value):
-            return True
         if value and name == "style" and any(b in value.replace(" ", "").lower() for b in BLANK):
             return True
     return False
 
 
+def is_hinted(tag, attributes, inside_article):
+    """A form, or named like a part that is not main text; ids of headings and inside an article name their topic."""
+    if tag in ("body", "html") or tag in MAIN:
+        return False
+    for name, value in attributes:
+        if value and (name in ("class", "role") or (name == "id" and not inside_article and tag not in HEADINGS)):
+            if any(HINTS.issuperset(re.split("[_-]+", word)) for word in value.lower().split()):
+                return True
+    return tag == "form"
+
+
 class TreeBuilder(HTMLParser):
     """A tree of elements and texts; tags that are missing or left open are put right."""
 
@@ -90,7 +102,7 @@ class TreeBuilder(HTMLParser):
         if tag in SIBLINGS:
             self._close_open(SIBLINGS[tag], HOLDERS - set(SIBLINGS[tag]))
         dropped = self.here.dropped or is_left_out(tag, attrs, self.articles > 0)
-        node = Node(tag, self.here, dropped)
+        node = Node(tag, self.here, dropped, is_hinted(tag, attrs, self.articles > 0))
         self.here.children.append(node)
         if tag not in VOID:
             self.here = node
@@ -120,6 +132,24 @@ class TreeBuilder(HTMLParser):
             self.here.children.append(data)
 
 
+def drop_hinted(root):
+    """Drop hinted parts but those that hold an article or main element, or, where no such element
+    with text is outside, more than half of the page's text."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(c for c in node.children if isinstance(c, Node) and not c.dropped)
+    chars, mains = {}, {}
+    for node in reversed(order):
+        inner = [c for c in node.children if isinstance(c, Node) and not c.dropped]
+        chars[node] = sum(len("".join(c.split())) for c in node.children if isinstance(c, str)) + sum(chars[c] for c in inner)
+        mains[node] = (node.tag in MAIN and chars[node] > 0) + sum(mains[c] for c in inner)
+    for node in order:
+        if node.hinted and not mains[node]:
+            node.dropped = mains[root] > 0 or 2 * chars[node] <= chars[root]
+
+
 def measure(root):
     """Counts, densities and density sums of all nodes, children before parents; nodes in page order."""
     order, stack = [], [root]
@@ -177,7 +207,7 @@ def whole_article(node):
     """The article or main part around a node, if there is one: its headings and lists belong to it."""
     around, found = node, None
     while around is not None and around.tag != "body":
-        if around.tag in ("article", "main"):
+        if around.tag in MAIN:
             found = around
         around = around.parent
     return found or node
@@ -219,6 +249,7 @@ def main_text(html):
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
+    drop_hinted(builder.root)
     node = main_node(builder.root)
     return "\n".join(blocks_of(whole_article(node))) if node else ""
 

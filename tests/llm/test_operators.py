@@ -207,6 +207,20 @@ def test_html():
     assert html_main.main_text("just text &amp; no tags") == "just text & no tags"
 
 
+def test_html_names_of_wrappers_and_sections_drop_nothing():
+    text = "A paragraph of the article that is long enough to count as its text, with more words to come. " * 3
+    wrappers = ['<div class="content has-sidebar">', '<div id="page" class="layout sidebar-right">', '<div class="widget-content">',
+                '<form action="/all">', '<div class="widget">']
+    for wrapper in wrappers:
+        for around in ("<article>", "<div>"):
+            page = f"<body>{wrapper}{around}<p>{text}</p><p>{text}</p>"
+            assert html_main.main_text(page).split("\n") == [text.strip()] * 2, page
+    inside = '<body><article><h2 id="search">Search</h2><section id="related-work"><p>{0}</p></section><p id="notice-of-intent">{0}</p><div class="share">Tell</div>'
+    assert html_main.main_text(inside.format(text)).split("\n") == ["Search", text.strip(), text.strip()]
+    beside = "<body><article><p>{0}</p></article><div class='comments'><p>{0}{0}</p></div><form><p>{0}</p></form>"
+    assert html_main.main_text(beside.format(text)) == text.strip()
+
+
 def brute_hits(text, items):
     words = decontaminate.TOKEN.findall((text or "").translate(decontaminate.LOWER))
     hit, found = set(), set()
