@@ -4,7 +4,7 @@ The page becomes a tree.  For every node the characters per tag below it are adj
 two nodes with the same characters and tags, the one with more of them in links is less dense.  A
 node's density sum adds the densities of its children.  The threshold is the smallest density on
 the path from the densest node to the body; of the nodes above it the one with the largest density
-sum holds the main text.  Parts that never belong to it are taken out of the tree first, and forms
+sum holds the main text, together with its siblings above the threshold.  Parts that never belong to it are taken out of the tree first, and forms
 and parts with telling names where they do not hold the article or most of the text.
 """
 
@@ -189,18 +189,51 @@ def density(node, share):
 
 
 def main_node(root):
-    """The subtree of the largest density sum, above the threshold of the body path."""
+    """The main text's node: of the nodes above the threshold of the body path the one with the
+    largest density sum, or the part around it that holds the siblings above the threshold too."""
     order, body = measure(root)
     full = [n for n in order if n.chars]
     if not full:
         return None
-    densest = max(full, key=lambda n: n.sum)
-    path, node = [], densest
-    while node is not None and node is not body.parent:
+    path, node = [], max(full, key=lambda n: n.density)
+    while node is not None:
         path.append(node.density)
-        node = node.parent
+        node = None if node is body else node.parent
     threshold = min(path)
-    return max((n for n in full if n.density >= threshold), key=lambda n: n.sum)
+    found = max((n for n in full if n.density >= threshold), key=lambda n: n.sum)
+    article = whole_article(found)
+    return article if article.tag in MAIN else with_siblings(found, body, threshold)
+
+
+def with_siblings(node, body, threshold):
+    """The outermost part up to the body in which siblings of the node, or of a part around it, reach the threshold.
+
+    The parts beside them stay, whatever their density, unless most of their text is in links; of
+    the body, only what is between the first and the last that reach it, and the headings before.
+    """
+    reaches = lambda c: isinstance(c, Node) and not c.dropped and c.chars > 0 and c.density >= threshold
+    found, around = node, node
+    while around is not body and around.parent is not None:
+        inner, around = around, around.parent
+        if any(reaches(c) for c in around.children if c is not inner):
+            found = around
+    around = node
+    while around is not found:
+        inner, around = around, around.parent
+        kept = [c is inner or reaches(c) for c in around.children]
+        first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
+        while first and is_heading(around.children[first - 1]):
+            first -= 1
+        for i, c in enumerate(around.children):
+            if not kept[i] and isinstance(c, Node):
+                c.dropped |= 2 * c.link_chars > c.chars
+        if around is body:
+            around.children = around.children[first:last + 1]
+    return found
+
+
+def is_heading(item):
+    return not item.strip() if isinstance(item, str) else item.dropped or item.tag in HEADINGS
 
 
 def whole_article(node):
@@ -251,7 +284,7 @@ def main_text(html):
     builder.close()
     drop_hinted(builder.root)
     node = main_node(builder.root)
-    return "\n".join(blocks_of(whole_article(node))) if node else ""
+    return "\n".join(blocks_of(node)) if node else ""
 
 
 def extract_pages(pages):

@@ -221,6 +221,19 @@ def test_html_names_of_wrappers_and_sections_drop_nothing():
     assert html_main.main_text(beside.format(text)) == text.strip()
 
 
+def test_html_sections_beside_each_other():
+    text = "Some link free words of the article in this paragraph, which go on and on without an end. " * 3
+    paragraphs = [f"{i} {text}".strip() for i in range(12)]
+    sections = ["".join(f"<p>{p}</p>" for p in half) for half in (paragraphs[:6], paragraphs[6:])]
+    links = "<ul>" + "".join(f"<li><a href=x>Another page {i} with a long title</a></li>" for i in range(30)) + "</ul>"
+    for open_, close in (("<div><h1>Title</h1>", "</div>"), ("<h1>Title</h1>", "")):
+        for section in ("<section>{}</section>", "<div class=column><div>{}</div></div>"):
+            first, second = map(section.format, sections)
+            page = f"<body><div>{links}</div>{open_}{first}<h2>Next</h2><p>Yes.</p>{second}{close}<div>{links}</div><div>Copyright</div>"
+            assert html_main.main_text(page).split("\n") == ["Title", *paragraphs[:6], "Next", "Yes.", *paragraphs[6:]], page
+    assert html_main.main_text(f"<body><div>{links}</div><div>{sections[0]}</div>").split("\n") == paragraphs[:6]
+
+
 def brute_hits(text, items):
     words = decontaminate.TOKEN.findall((text or "").translate(decontaminate.LOWER))
     hit, found = set(), set()
