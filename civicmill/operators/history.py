@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from civicmill.functions.people import is_recent
 from civicmill.operators.lookup import single_valued
-from civicmill.operators.sizes import small_side
+from civicmill.operators.sizes import is_small, small_side
 
 COUNTERS = ("FiveYearElections", "FiveYearPrimaries")
 
@@ -25,10 +25,13 @@ def count_history(df, codes, as_of, history="VoterHistory"):
     """Add five-year elections, five-year primaries and the prime flag.
 
     The history is split on semicolons; empty and unknown codes do not count, repeated codes
-    count again.  A short code table becomes two hash-set filters on the split history, so
-    voters are not shuffled; a longer one is joined per distinct history.
+    count again.  The code table becomes two hash-set filters on the split history, so voters are
+    not shuffled.  Recent codes beyond the size check are refused; for them there is
+    ``count_history_by_join``.
     """
     recent = _recent_codes(codes, as_of)
+    if not is_small(recent):
+        raise ValueError("the recent election codes are too many for literals: use count_history_by_join")
     known = recent.collect()
     every = [row["Election"] for row in known]
     primaries = [row["Election"] for row in known if row["primary"]]

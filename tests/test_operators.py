@@ -99,6 +99,13 @@ def test_code_tables_of_any_size_are_joined(spark):
     assert "Join" in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_code_tables_beyond_the_size_check_are_refused(spark):
+    codes = spark.range(sizes.BROADCAST_ROWS + 1).selectExpr("concat('E', id) Election", "id Num", "'General' Type", "date'2019-01-01' Date")
+    df = spark.createDataFrame([(1, "E1;E2")], "i int, VoterHistory string")
+    with pytest.raises(ValueError, match="count_history_by_join"):
+        history.count_history(df, codes, F.lit(date(2020, 1, 1)))
+
+
 def backing_off(donor, voters, threshold=70):
     """The definition, literally: lengths 8 to 1, best score, smallest id."""
     for length in range(8, 0, -1):
