@@ -20,7 +20,6 @@ from civicmill.llm.running import running
 from civicmill.session import cut
 
 FAN, LEVELS, DIGEST = 16, 3, 64
-BLOCK_BITS = 4 * LEVELS
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -57,10 +56,10 @@ def ordered_leaves(docs):
     return cut(placed.select("doc_id", "tree", "n", "idx", "leaf", "tampered"))
 
 
-def climb(hashes, n):
-    """The levels of a block, from its nodes up, as long as its tree of ``n`` nodes has several."""
+def climb(hashes, n, most):
+    """Up to ``most`` levels over the nodes of a block, as long as its tree of ``n`` nodes has several."""
     levels = [hashes]
-    while n > 1 and len(levels) <= LEVELS:
+    while n > 1 and len(levels) <= most:
         below, n = levels[-1], -(-n // FAN)
         levels.append([digest("".join(below[i:i + FAN])) for i in range(0, len(below), FAN)])
     return levels, n
@@ -85,51 +84,56 @@ def fold(node, path):
     return copies
 
 
-def block_tops(nodes):
+def block_of(idx, most):
+    return F.floor(F.col(idx) / FAN ** most)
+
+
+def block_tops(nodes, most):
     """The tops of the blocks of (tree, n, idx, hash): the nodes of the next round, in the same columns."""
 
     def build(key, rows):
-        levels, n = climb(rows.sort_values("idx")["hash"].tolist(), int(rows["n"].iloc[0]))
+        levels, n = climb(rows.sort_values("idx")["hash"].tolist(), int(rows["n"].iloc[0]), most)
         return pd.DataFrame({"tree": [key[0]], "n": [n], "idx": [key[1]], "hash": [levels[-1][0]]})
 
-    return nodes.groupBy("tree", F.shiftright("idx", BLOCK_BITS).alias("block")).applyInPandas(
+    return nodes.groupBy("tree", block_of("idx", most).alias("block")).applyInPandas(
         build, "tree long, n long, idx long, hash string")
 
 
-def rounds_of(nodes):
+def rounds_of(nodes, most):
     """The nodes of every round, (tree, n, idx, hash), up to the one node that each tree ends in."""
     rounds = [nodes]
     while (nodes.agg(F.max("n")).first()[0] or 1) > 1:
-        nodes = cut(block_tops(nodes))
+        nodes = cut(block_tops(nodes, most))
         rounds.append(nodes)
     return rounds
 
 
-def block_groups(nodes, above):
+def block_groups(nodes, above, most):
     """Nodes beside the path of the top of their block."""
-    return nodes.groupBy("tree", F.shiftright("idx", BLOCK_BITS)).cogroup(above.groupBy("tree", "idx"))
+    above = above.toDF(*above.columns)  # a tree of one node is its own top
+    return nodes.groupBy("tree", block_of("idx", most)).cogroup(above.groupBy("tree", "idx"))
 
 
-def paths_down(rounds, above):
+def paths_down(rounds, above, most):
     """``above`` (tree, idx, path, subroot, root) carried from the last of the rounds to the first."""
 
     def descend(nodes, top):
         nodes = nodes.sort_values("idx")
-        levels, _ = climb(nodes["hash"].tolist(), int(nodes["n"].iloc[0]))
+        levels, _ = climb(nodes["hash"].tolist(), int(nodes["n"].iloc[0]), most)
         top = top.iloc[0]
         return pd.DataFrame({
             "tree": nodes["tree"], "idx": nodes["idx"], "path": [sides(levels, i) + list(top["path"]) for i in range(len(nodes))],
             "subroot": top["subroot"], "root": top["root"]})
 
     for nodes in rounds[-2::-1]:
-        above = block_groups(nodes, above).applyInPandas(descend, "tree long, idx long, path array<string>, subroot string, root string")
+        above = block_groups(nodes, above, most).applyInPandas(descend, "tree long, idx long, path array<string>, subroot string, root string")
     return above
 
 
-def manifest(docs):
+def manifest(docs, levels=LEVELS):
     """(doc_id, tree, idx, leaf, subroot, root, proof_sha256, folded_root, verified, copies), a row for each row of ``docs``.
 
-    ``docs`` has doc_id, source, lang, n_chars and text.  ``tree`` is the place of the source, null
+    ``docs`` has doc_id, source, lang, n_chars and text; a block has ``levels`` levels.  ``tree`` is the place of the source, null
     first, and ``idx`` that of the row in it, by doc_id, null first, then by leaf; so repeated rows
     stand beside each other and are leaves each.  ``copies`` holds the nodes above the leaf that its
     version copies, from the lowest to the root; it is null where the row is not tampered with, as
@@ -137,23 +141,23 @@ def manifest(docs):
     columns, whatever their names, are not read.
     """
     rows = ordered_leaves(docs)
-    rounds = rounds_of(rows.select("tree", "n", "idx", F.col("leaf").alias("hash")))
+    rounds = rounds_of(rows.select("tree", "n", "idx", F.col("leaf").alias("hash")), levels)
     subroots = rounds[-1]
     n_trees = subroots.count()
-    tops = rounds_of(subroots.select(F.lit(0).cast("long").alias("tree"), F.lit(n_trees).cast("long").alias("n"), F.col("tree").alias("idx"), "hash"))
+    tops = rounds_of(subroots.select(F.lit(0).cast("long").alias("tree"), F.lit(n_trees).cast("long").alias("n"), F.col("tree").alias("idx"), "hash"), levels)
     none = F.array().cast("array<string>").alias("path")
     start = tops[-1].select("tree", "idx", none, F.lit("").alias("subroot"), F.col("hash").alias("root"))
-    upper = paths_down(tops, start).select(F.col("idx").alias("tree"), "path", "root")
+    upper = paths_down(tops, start, levels).select(F.col("idx").alias("tree"), "path", "root")
     start = subroots.join(upper, "tree").select("tree", "idx", "path", F.col("hash").alias("subroot"), "root")
-    above = paths_down(rounds[1:], start)
+    above = paths_down(rounds[1:], start, levels)
 
     def finish(block, top):
         block = block.sort_values("idx")
-        levels, _ = climb(block["leaf"].tolist(), int(block["n"].iloc[0]))
+        made_levels, _ = climb(block["leaf"].tolist(), int(block["n"].iloc[0]), levels)
         top = top.iloc[0]
         upper, proofs, folded, copies = list(top["path"]), [], [], []
         for at, (leaf, tampered) in enumerate(zip(block["leaf"], block["tampered"])):
-            path = sides(levels, at) + upper
+            path = sides(made_levels, at) + upper
             made = fold(tampered or leaf, path)
             proofs.append(digest("".join(path)))
             folded.append(made[-1] if made else tampered or leaf)
@@ -163,7 +167,7 @@ def manifest(docs):
             "root": top["root"], "proof_sha256": proofs, "folded_root": folded, "copies": copies})
 
     # ids travel as text, because pandas would make long numbers beside nulls inexact
-    done = block_groups(rows.withColumn("doc_id", F.col("doc_id").cast("string")), above).applyInPandas(
+    done = block_groups(rows.withColumn("doc_id", F.col("doc_id").cast("string")), above, levels).applyInPandas(
         finish, "doc_id string, tree long, idx long, leaf string, subroot string, root string, proof_sha256 string, "
                 "folded_root string, copies array<string>")
     return done.withColumn("doc_id", F.col("doc_id").cast(rows.schema["doc_id"].dataType)).withColumn(

@@ -1,0 +1,229 @@
+"""Mixing, the prefix trie and the manifest against brute force, hot groups, odd rows and empty tables."""
+
+import hashlib
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from civicmill.llm import merkle, mixing, prefix_trie
+from civicmill.llm.running import running
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+NAMES = ["row", "size", "place", "target", "tree", "idx", "leaf", "part", "Text", "node", "depth", "conv", "task", "component"]
+
+
+def odd_documents():
+    """A source with a third of the rows, repeated rows, nulls, empty and long texts, large and negative ids."""
+    rows = [(i, "Word " * (i % 7 + 1), "en", "hot", 3) for i in range(60)]
+    rows += [(555, "Same row", None, "b", None)] * 9 + [(None, None, None, None, None)] * 3
+    rows += [(-7, "", "de", "é", 0), (2 ** 62 + 1, "Ü ☃ x", "de", "z", 5), (2 ** 62, "A" * 70_000 + " b", "de", "z", 5)]
+    return rows + [(1000 + i, f"Text {i}", "fr", f"s{i}", 1) for i in range(40)]
+
+
+def wide(df):
+    """The table with columns named like those that operators make themselves."""
+    return df.select("*", *[F.lit("x").alias(n) for n in NAMES if n not in df.columns])
+
+
+def test_running_totals(spark):
+    rows = [(g, i, (i * 37) % 11 - 3) for g, n in ((1, 400), (2, 7), (3, 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g long, i long, v long").repartition(6)
+    got = running(df, ["g"], ["i"], {"total": ("sum", F.col("v")), "mixed": ("xor", F.col("v"))}).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        before = [v for g, i, v in rows if g == r["g"] and i < r["i"]]
+        assert r["total"] == sum(before) and r["mixed"] == int(np.bitwise_xor.reduce(before or [0]))
+    assert {r["n"] for r in running(df, [], ["g", "i"], {"n": ("sum", F.lit(1).cast("long"))}).collect()} == set(range(len(rows)))
+
+
+def brute_targets(sizes):
+    """Targets by resharing the excess again and again."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}
+    total, fixed = sum(sizes.values()), {}
+    while True:
+        free = [s for s in order if s not in fixed]
+        if not free:
+            return fixed
+        left = total - sum(fixed.values())
+        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = [s for s in free if share[s] > 3 * sizes[s]]
+        if not over:
+            return {**fixed, **share}
+        fixed |= {s: 3 * sizes[s] for s in over}
+
+
+def test_mixing(spark):
+    rows = odd_documents()
+    docs = spark.createDataFrame(rows, DOCS)
+    sizes = defaultdict(int)
+    for _, text, _, source, _ in rows:
+        sizes[source] += len((text or "").split())
+    targets = brute_targets(dict(sizes))
+    source_of = {r[0]: r[3] for r in rows}
+    got = mixing.mixing_digest(wide(docs)).collect()
+    assert len(got) == len(rows)
+    taken = defaultdict(int)
+    for r in got:
+        source = source_of[r["doc_id"]]
+        assert r["target"] == pytest.approx(targets[source]) and r["source_size"] == sizes[source]
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        taken[source] += r["taken"]
+    assert all(targets[s] - 1 < taken[s] <= targets[s] + 1e-6 for s in sizes)
+    again = mixing.mixing_digest(docs.repartition(3)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
+def test_mix_is_in_order_of_finish_times(spark):
+    docs = spark.createDataFrame(odd_documents(), DOCS)
+    mix = sorted(mixing.mix_sources(docs, share=0.5).collect(), key=lambda r: r["position"])
+    assert [r["finish"] for r in mix] == sorted(r["finish"] for r in mix)
+    position = 0
+    for r in mix:
+        assert r["position"] == position
+        position += r["words"]
+    total = sum(len((t or "").split()) for _, t, _, _, _ in odd_documents())
+    assert total * 0.5 - 45 < position <= total * 0.5
+    assert mixing.mix_sources(docs, share=9).agg(F.sum("words")).first()[0] == 3 * total
+
+
+def H(parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def brute_leaf(row):
+    values = [None if v is None else str(v) for v in (row[0], row[3], row[2], row[4], row[1])]
+    return H("-" if v is None else f"{len(v.encode())}:{v}" for v in values)
+
+
+def brute_tree(nodes):
+    """The root of the nodes, and the sides (left, right) of each node, level by level."""
+    sides, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for i, a in enumerate(at):
+            start = a // 16 * 16
+            sides[i].append((nodes[start:a], nodes[a + 1:start + 16]))
+        nodes = [H(nodes[i:i + 16]) for i in range(0, len(nodes), 16)]
+        at = [a // 16 for a in at]
+    return nodes[0], sides
+
+
+@pytest.mark.parametrize("levels", [3, 1])
+def test_manifest(spark, levels):
+    rows = odd_documents() + [(5000 + i, f"More {i}", "en", "hot", i) for i in range(400)]
+    lower = {ord(a): a.lower() for a in merkle.UPPER}
+    by_source = defaultdict(list)
+    for row in rows:
+        by_source[row[3]].append((row[0] is not None, row[0] or 0, brute_leaf(row), row))
+    order = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: brute_tree([leaf for _, _, leaf, _ in sorted(by_source[s], key=lambda x: x[:3])]) for s in order}
+    root, tops = brute_tree([trees[s][0] for s in order])
+    expected = []
+    for s, top in zip(order, tops):
+        for (_, _, leaf, row), sides in zip(sorted(by_source[s], key=lambda x: x[:3]), trees[s][1]):
+            path = sides + top
+            changed = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0
+            node = brute_leaf((row[0], row[1] and row[1].translate(lower), *row[2:])) if changed else leaf
+            copies = []
+            for left, right in path:
+                node = H([*left, node, *right])
+                copies.append(node)
+            proof = H(h for left, right in path for h in left + right)
+            expected.append((row[0], leaf, trees[s][0], root, proof, node, node == root, copies if changed else None))
+    made = merkle.manifest(wide(spark.createDataFrame(rows, DOCS)), levels)
+    got = [(r["doc_id"], r["leaf"], r["subroot"], r["root"], r["proof_sha256"], r["folded_root"], r["verified"], r["copies"]) for r in made.collect()]
+    assert sorted(map(str, got)) == sorted(map(str, expected))
+    assert 0 < sum(not g[6] for g in got) < len(got) / 3
+    versions = merkle.version_nodes(made).where("level = 1").count()
+    assert versions == sum(e[7] is not None and len(e[7]) > 0 for e in expected)
+
+
+def test_manifest_of_lone_leaves(spark):
+    for rows in ([(3, "One", "en", "a", 1)], [(3, "One", "en", "a", 1), (4, "Two", "en", None, 1)]):
+        leaf = [brute_leaf(r) for r in rows]
+        for r in merkle.manifest_digest(spark.createDataFrame(rows, DOCS)).collect():
+            assert r["subroot"] == leaf[[x[0] for x in rows].index(r["doc_id"])]
+            assert r["root"] == (leaf[0] if len(rows) == 1 else H([leaf[1], leaf[0]]))
+
+
+def brute_trie(turns):
+    own = defaultdict(list)
+    for c, turn, role, text in turns:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [(r, t) for _, _, r, t in sorted(v)] for c, v in own.items()}
+    rebuilt = {}
+    for c, mine in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        rebuilt[c] = tuple(own.get(c - int(np.fmod(c, 100)), [])[:h] + mine[h:])
+    members = defaultdict(list)
+    for c, turns_ in rebuilt.items():
+        for d in range(len(turns_) + 1):
+            members[turns_[:d]].append(c)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        leaves[node] = sum(leaves[c] for c in children[node]) or 1
+        saved[node] = sum(saved[c] for c in children[node]) + ((len(members[node]) - 1) * len(node[-1][1]) if node else 0)
+    result = []
+    for node, ids in members.items():
+        ends = sorted(c for c in ids if len(rebuilt[c]) == len(node))
+        result.append((min(ids), len(node), min(members[node[:-1]]) if node else None, len(ids), len(children[node]),
+                       leaves[node], saved[node], H(",".join(map(str, ends)))))
+    return result
+
+
+def some_conversations():
+    """A long conversation and its branches, many copies, a common first turn, turnless and odd ones."""
+    rng = np.random.default_rng(4)
+    rows = [(100, i, "user", f"turn {i} é☃") for i in range(90)]
+    rows += [(c, i, "user", f"turn {i} é☃") for c in range(101, 118) for i in range(int(rng.integers(1, 90)))]
+    rows += [(c, i, "user", "hello" if i < 2 else f"say {c}") for c in range(300, 420) for i in range(3)]
+    rows += [(c, i, "system", "copy") for c in range(1000, 1060) for i in range(4)]
+    rows += [(-5, 0, None, None), (-105, None, "user", "x"), (-105, None, "user", "x"), (-105, 2, "a", None), (None, 1, "user", "lost")]
+    return rows + [(c, 0, "user", "only") for c in (701, 702, 703, 704, 705, 706)]
+
+
+@pytest.mark.parametrize("component, per_task", [(prefix_trie.COMPONENT, prefix_trie.NODES_PER_TASK), (12, 40)])
+def test_prefix_trie(spark, component, per_task):
+    rows = some_conversations()
+    df = wide(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = [tuple(r) for r in prefix_trie.prefix_trie(df, component, per_task).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, brute_trie(rows)))
+
+
+def test_centroids_of_any_forest():
+    rng = np.random.default_rng(2)
+    for shape in range(30):
+        n = int(rng.integers(1, 60))
+        parents = [-1 if i == 0 or rng.random() < 0.05 else i - 1 if shape % 3 == 0 else int(rng.integers(0, i)) for i in range(n)]
+        values = rng.integers(0, 9, n).tolist()
+        expected = list(values)
+        for i in range(n - 1, 0, -1):
+            if parents[i] >= 0:
+                expected[parents[i]] += expected[i]
+        assert prefix_trie.split_forest(parents, [values, [1] * n])[0] == expected
+
+
+def test_ends_in_several_pieces_hash_as_one():
+    import pyarrow as pa
+
+    batch = lambda rows: pa.RecordBatch.from_pylist([dict(zip(("node", "first", "piece"), r)) for r in rows])
+    pieces = [batch([("a", True, "1,2"), ("a", False, "3")]), batch([("a", False, "4,5"), ("b", True, "7")])]
+    (made,) = prefix_trie.hash_in_order(pieces)
+    assert made.to_pylist() == [{"node": "a", "ends_sha256": H("1,2,3,4,5")}, {"node": "b", "ends_sha256": H("7")}]
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], DOCS)
+    assert mixing.mixing_digest(docs).collect() == [] and mixing.mix_sources(docs).collect() == []
+    assert merkle.manifest_digest(docs).collect() == []
+    assert prefix_trie.prefix_trie(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []
+    blank = spark.createDataFrame([(1, None, None, None, None)], DOCS)
+    assert [r["taken"] for r in mixing.mixing_digest(blank).collect()] == [0]
