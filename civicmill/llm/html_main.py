@@ -23,7 +23,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 BLOCKS = set("""address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
 LEFT_OUT = set("""script style noscript template head title nav footer aside button select textarea option iframe object
-embed svg canvas audio video menu dialog label input fieldset""".split())
+embed svg canvas audio video menu dialog input fieldset""".split())
 # Closed by an element of the same kind, looked for below the elements that hold them.
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
             "th": ("td", "th"), "option": ("option",)}
@@ -32,18 +32,23 @@ HOLDERS = set("ul ol menu dl table tbody thead tfoot div section article body".s
 # made of several of them by '-' or '_' is one too.
 HINTS = set("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent
 disqus footer menu nav navbar navigation newsletter notice notices pagination popup promo promoted related reply replies respond
-share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget masthead alert complementary contentinfo
-search""".split())
+share sharing sidebar signup skip social sponsor sponsored subscribe teaser teasers toolbar widget masthead alert complementary
+contentinfo search""".split())
+# Names of reader comments, and names of adverts and sidebars; a name that begins with one of them is that of such a part.
+COMMENTS = set("comment comments disqus reply replies respond".split())
+BESIDE = set("ad ads advert adverts advertisement advertising sidebar sponsor sponsored".split())
+# What follows in names of comment parts that are ids, or names of articles.
+COMMENT_PARTS = COMMENTS | set("area body box container content entry form item list section text thread wrapper".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 MAIN = ("article", "main")
 BLANK = {"display:none", "visibility:hidden"}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum", "dropped", "hinted")
+    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum", "dropped", "hint")
 
-    def __init__(self, tag, parent, dropped=False, hinted=False):
-        self.tag, self.parent, self.children, self.dropped, self.hinted = tag, parent, [], dropped, hinted
+    def __init__(self, tag, parent, dropped=False, hint=None):
+        self.tag, self.parent, self.children, self.dropped, self.hint = tag, parent, [], dropped, hint
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
@@ -59,15 +64,28 @@ def is_left_out(tag, attributes, inside_article):
     return False
 
 
-def is_hinted(tag, attributes, inside_article):
-    """A form, or named like a part that is not main text; ids of headings and inside an article name their topic."""
-    if tag in ("body", "html") or tag in MAIN:
-        return False
+def hint_of(tag, attributes, inside_article):
+    """``comments`` or ``other`` for a part named like one that is not main text, and for a form; else none.
+
+    Ids of headings, and other ids than those of comments inside an article, name their topic.
+    """
+    if tag in ("body", "html", "main"):
+        return None
+    found = "other" if tag == "form" else None
     for name, value in attributes:
-        if value and (name in ("class", "role") or (name == "id" and not inside_article and tag not in HEADINGS)):
-            if any(HINTS.issuperset(re.split("[_-]+", word)) for word in value.lower().split()):
-                return True
-    return tag == "form"
+        if not value or name not in ("class", "role", "id") or (name == "id" and tag in HEADINGS):
+            continue
+        for word in value.lower().split():
+            pieces = [p for p in re.split("[_-]+", word) if p]
+            if not pieces:
+                continue
+            if pieces[0] in COMMENTS and (COMMENT_PARTS.issuperset(pieces) or (name != "id" and tag != "article")):
+                return "comments"
+            if name == "id" and inside_article:
+                continue
+            if HINTS.issuperset(pieces) or (pieces[0] in BESIDE and tag != "article"):
+                found = "other"
+    return found
 
 
 class TreeBuilder(HTMLParser):
@@ -102,7 +120,7 @@ class TreeBuilder(HTMLParser):
         if tag in SIBLINGS:
             self._close_open(SIBLINGS[tag], HOLDERS - set(SIBLINGS[tag]))
         dropped = self.here.dropped or is_left_out(tag, attrs, self.articles > 0)
-        node = Node(tag, self.here, dropped, is_hinted(tag, attrs, self.articles > 0))
+        node = Node(tag, self.here, dropped, hint_of(tag, attrs, self.articles > 0))
         self.here.children.append(node)
         if tag not in VOID:
             self.here = node
@@ -133,21 +151,32 @@ class TreeBuilder(HTMLParser):
 
 
 def drop_hinted(root):
-    """Drop hinted parts but those that hold an article or main element, or, where no such element
-    with text is outside, more than half of the page's text."""
-    order, stack = [], [root]
-    while stack:
-        node = stack.pop()
-        order.append(node)
-        stack.extend(c for c in node.children if isinstance(c, Node) and not c.dropped)
+    """Drop hinted parts but those that hold the article.
+
+    The article is an article or main element with text that is not hinted: one outside all hinted
+    parts if there is one, else one outside all comments, else any.  Where there is none, a
+    hinted part stays that holds more than half of the page's text, and comments that hold more
+    than nine tenths of it.
+    """
+    order, stack = [], [(root, 0)]
+    while stack:        # within: 2 inside comments, 1 inside another hinted part
+        node, within = stack.pop()
+        within = max(within, {"comments": 2, "other": 1}.get(node.hint, 0))
+        order.append((node, within))
+        stack.extend((c, within) for c in node.children if isinstance(c, Node) and not c.dropped)
     chars, mains = {}, {}
-    for node in reversed(order):
+    for node, within in reversed(order):
         inner = [c for c in node.children if isinstance(c, Node) and not c.dropped]
         chars[node] = sum(len("".join(c.split())) for c in node.children if isinstance(c, str)) + sum(chars[c] for c in inner)
-        mains[node] = (node.tag in MAIN and chars[node] > 0) + sum(mains[c] for c in inner)
-    for node in order:
-        if node.hinted and not mains[node]:
-            node.dropped = mains[root] > 0 or 2 * chars[node] <= chars[root]
+        held = [0, 0, 0]
+        if node.tag in MAIN and node.hint is None and chars[node] > 0:
+            held[within] = 1
+        mains[node] = [a + sum(mains[c][k] for c in inner) for k, a in enumerate(held)]
+    kind = next((k for k in range(3) if mains[root][k]), None)
+    for node, _ in order:
+        if node.hint and (kind is None or not mains[node][kind]):
+            share = 0.9 if node.hint == "comments" else 0.5
+            node.dropped = kind is not None or chars[node] <= share * chars[root]
 
 
 def measure(root):
