@@ -142,27 +142,18 @@ def key_rows(distinct):
 def forest(fps, most_bits):
     """Links (places a, b) that join all fingerprints within ``most_bits``: at most one per fingerprint.
 
-    Blocks of rows are compared with the rest; only links that join two parts are kept.
+    A part grows from one fingerprint: those that it has reached last are compared with all that no
+    part has reached, and link to what they find.
     """
-    n = len(fps)
-    parent = np.arange(n)
-
-    def top(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    links = []
-    for at in range(0, n, 256):
-        near = np.bitwise_count(fps[at:at + 256, None] ^ fps[None, at:]) <= most_bits
-        a, b = np.nonzero(near)
-        a, b = a + at, b + at
-        for x, y in zip(*(v[a < b].tolist() for v in (a, b))):
-            rx, ry = top(x), top(y)
-            if rx != ry:
-                parent[max(rx, ry)] = min(rx, ry)
-                links.append((x, y))
+    left, links = np.arange(len(fps)), []
+    while len(left):
+        reached, left = left[:1], left[1:]
+        while len(reached) and len(left):
+            some, reached = reached[:256], reached[256:]
+            near = np.bitwise_count(fps[some, None] ^ fps[None, left]) <= most_bits
+            found = near.any(axis=0)
+            links += zip(some[near[:, found].argmax(axis=0)].tolist(), left[found].tolist())
+            reached, left = np.concatenate([reached, left[found]]), left[~found]
     return links
 
 
@@ -266,9 +257,12 @@ def one_of_each_group(docs, k=WORDS_PER_SHINGLE, most_bits=MOST_BITS):
     groups = near_duplicates(docs, k, most_bits)
     chosen = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "doc_key")).alias("least"))
     chosen = chosen.select(F.col("least")["doc_key"].alias("doc_key"))
-    rows = docs.withColumn("doc_key", F.xxhash64("doc_id", "text"))
     # joined and made distinct by the same key, so the texts move once
-    return rows.join(chosen, "doc_key", "left_semi").dropDuplicates(["doc_key"]).drop("doc_key")
+    name = "doc_key"
+    while name in docs.columns:
+        name += "_"
+    rows = docs.withColumn(name, F.xxhash64("doc_id", "text"))
+    return rows.join(chosen.withColumnRenamed("doc_key", name), name, "left_semi").dropDuplicates([name]).drop(name)
 
 
 def simhash_digest(docs):
