@@ -5,8 +5,9 @@ sequence.  A configuration is a multiset of lengths that fits into one sequence.
 program asks for the least number of configurations that cover the histogram.  It is solved by
 multiplicative weights: a length weighs its tokens times a factor that grows with the share of it
 still uncovered, a knapsack dynamic program prices the best configuration around every length,
-those priced close to the best are taken by a step, and the weights are updated.  The fractional solution is rounded down
-with its remainders carried along, and what is left is filled up best-fit, largest first.
+those priced close to the best are taken by a step, and the weights are updated.  The prices give a
+lower bound.  The fractional solution is rounded down with its remainders carried
+along, and what is left is filled up best-fit, largest first.
 
 Only the histogram reaches the driver: its size is the sequence length.  Rows get their place
 from their rank among the pieces of the same length.
@@ -26,10 +27,11 @@ from civicmill.session import cut
 SEQUENCE = 2048
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 0
-ROUNDS = 40                 # of multiplicative weights; bounds the number of configurations
-STEP = 0.25                 # share of the scarcest uncovered length that a configuration takes
+ROUNDS = 200                # of multiplicative weights, at most; bounds the number of configurations
+GAP = 0.01                  # share of the tokens that the program may leave uncovered
+STEP = 0.5                  # share of the scarcest uncovered length that a configuration takes
 RATE = 3.0                  # of the weights
-SLACK = 0.01                # a configuration is taken if its price is that close to the best one's
+SLACK = 0.03                # a configuration is taken if its price is that close to the best one's
 CELL_ROWS = 50_000          # pieces of one length ranked in one task
 CACHE = 1_000_000           # chunks of text whose ids a worker remembers
 
@@ -152,24 +154,32 @@ def _fill(room, last):
     return chosen
 
 
-def solve_configurations(histogram, sequence=SEQUENCE, rounds=ROUNDS, step=STEP, rate=RATE):
-    """{configuration (lengths, largest first): fractional number}, covering most of the histogram.
+def solve_configurations(histogram, sequence=SEQUENCE, rounds=ROUNDS, step=STEP, rate=RATE, gap=GAP):
+    """({configuration (lengths, largest first): fractional number}, bound).
 
-    ``histogram[l]`` is the number of pieces of length l, for l below ``sequence``.
+    ``histogram[l]`` is the number of pieces of length l, for l below ``sequence``.  The amounts
+    cover all but ``gap`` of the tokens, or what can be covered in ``rounds`` rounds by configurations priced
+    close to the best; the rest is left to best-fit.  ``bound`` is the best dual value found: no
+    packing has fewer sequences, because prices under which no configuration costs more than one
+    value the histogram at no more than the least number of configurations.
     """
     need = histogram.astype(float)
-    left, amounts = need.copy(), {}
+    left, amounts, bound = need.copy(), {}, 0.0
+    tokens = float(np.arange(len(need)) @ need)
     for _ in range(rounds):
         lengths = np.flatnonzero(left > 1e-9)
-        if not len(lengths):
+        if float(lengths @ left[lengths]) <= gap * tokens:
             break
         share = left[lengths] / need[lengths]
         weights = lengths / sequence * np.exp(rate * (share - share.mean()))
         value, last = best_fills(lengths, weights, sequence)
-        price = dict(zip(lengths.tolist(), weights + value[sequence - lengths]))
+        bound = max(bound, float(need[lengths] @ weights) / value[sequence])
+        price = weights + value[sequence - lengths]
+        taken = 0.0
         # the lengths that are covered least come first
-        for length in lengths[np.argsort(-share, kind="stable")].tolist():
-            if left[length] <= 1e-9 or price[length] < (1 - SLACK) * value[sequence]:
+        for at in np.argsort(-share, kind="stable"):
+            length = int(lengths[at])
+            if left[length] <= 1e-9 or price[at] < (1 - SLACK) * value[sequence]:
                 continue
             chosen = sorted([length, *_fill(sequence - length, last)], reverse=True)
             kinds, times = np.unique(chosen, return_counts=True)
@@ -178,7 +188,10 @@ def solve_configurations(histogram, sequence=SEQUENCE, rounds=ROUNDS, step=STEP,
                 continue
             left[kinds] -= amount * times
             amounts[tuple(chosen)] = amounts.get(tuple(chosen), 0.0) + amount
-    return amounts
+            taken += amount
+        if taken <= 0:
+            break
+    return amounts, bound
 
 
 def round_configurations(histogram, amounts, sequence=SEQUENCE):
@@ -233,10 +246,15 @@ def places(chosen, sequence=SEQUENCE):
 
 
 def plan_sequences(histogram, sequence=SEQUENCE, rounds=ROUNDS):
-    """The places of all pieces; full pieces take a sequence each."""
+    """The places of all pieces; full pieces take a sequence each.
+
+    With few pieces of many lengths most amounts are below one and rounding loses more than the
+    program gains; the plan is then that of best-fit alone, so it is never worse.
+    """
     below = histogram.copy()
     full, below[sequence] = int(histogram[sequence]), 0
-    chosen = round_configurations(below, solve_configurations(below, sequence, rounds), sequence)
+    amounts, _ = solve_configurations(below, sequence, rounds)
+    chosen = min((round_configurations(below, a, sequence) for a in (amounts, {})), key=lambda c: sum(n for _, n in c))
     return places(chosen + [((sequence,), full)] * (full > 0), sequence)
 
 
