@@ -90,6 +90,7 @@ def tokenized_pieces(docs, sequence=SEQUENCE, path=None, end_id=END_ID, with_ids
     ``ids`` are the piece's ids as little-endian unsigned 32-bit numbers.
     """
     rows = pick(docs, "doc_id", "text")
+    kept = docs.sparkSession.sparkContext.broadcast({})     # a worker keeps its encoder with this value
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "uid"] + ["ids"] * with_ids
     schema = T.StructType([rows.schema["doc_id"]] + [
         T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
@@ -101,7 +102,10 @@ def tokenized_pieces(docs, sequence=SEQUENCE, path=None, end_id=END_ID, with_ids
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder = ChunkEncoder(path or public_tokenizers.path(VOCABULARY))
+        held = kept.value
+        if "encoder" not in held:
+            held["encoder"] = ChunkEncoder(path or public_tokenizers.path(VOCABULARY))
+        encoder = held["encoder"]
         end = np.array([end_id], dtype="<u4").tobytes()
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
