@@ -1,5 +1,6 @@
 """Voter roll: raw lines to Voter.Raw, Voter.Counts and Voter.Formatted."""
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from civicmill import schemas
@@ -9,7 +10,8 @@ from civicmill.operators.history import count_history
 from civicmill.operators.lookup import left_lookup
 from civicmill.operators.rollup import conditional_counts
 from civicmill.plans.warehouse import overwrite_table
-from civicmill.sources.lines import parse_delimited, read_lines
+from civicmill.sources.csv_sets import read_encoded_lines
+from civicmill.sources.lines import parse_delimited, read_lines, rejected_lines
 
 # Counties that count by assembly district; the others count by ward (fixed values).
 ASSEMBLY_COUNTIES = [3, 24, 30, 31, 41, 43]
@@ -35,8 +37,8 @@ KEPT = {
 }
 
 
-def parse_voters(lines):
-    return parse_delimited(lines, schemas.VOTER_RAW)
+def parse_voters(lines, tally=None):
+    return parse_delimited(lines, schemas.VOTER_RAW, tally=tally)
 
 
 def with_county(voters, counties):
@@ -79,9 +81,29 @@ def format_voters(voters, elections, counties, as_of):
     return formatted.select(*[c(f.name).cast(f.dataType) for f in schemas.VOTER_FORMATTED.fields])
 
 
-def load_voters(spark, path, as_of, raw="Voter.Raw", counts="Voter.Counts", formatted="Voter.Formatted"):
-    """The whole job.  Lines are parsed once; the other tables read the written one."""
-    written = overwrite_table(parse_voters(read_lines(spark, path)), raw, partition_by="COUNTYCODE")
+def write_raw(lines, raw, rejected):
+    """Lines to the raw table, and those that cannot be parsed to (line, reason); returns the raw table.
+
+    Lines are counted in the pass that parses them, and only if some are rejected are they looked for
+    once more.  The job stops if the two tables do not hold all lines.
+    """
+    spark, tally = lines.sparkSession, Observation()
+    written = overwrite_table(parse_voters(lines, tally), raw, cluster_by="COUNTYCODE")
+    none = spark.createDataFrame([], schemas.REJECTED)
+    found = rejected_lines(lines).withColumnRenamed("value", "line") if tally.get["rejected"] else none
+    refused = overwrite_table(found, rejected)
+    held = written.count() + refused.count()
+    # a task that ran twice may have counted twice, so another number is looked at again
+    if held != tally.get["lines"] and held != lines.where("value is not null").count():
+        raise RuntimeError(f"{raw} and {rejected} hold {held} lines, which are not all")
+    return written
+
+
+def load_voters(spark, path, as_of, raw="Voter.Raw", counts="Voter.Counts", formatted="Voter.Formatted",
+                rejected="Voter.Rejected", encoding="UTF-8"):
+    """The whole job, from a file in any encoding Java knows.  Lines are parsed once; the other tables read the written one."""
+    lines = read_lines(spark, path) if encoding.upper() in ("UTF-8", "UTF8") else read_encoded_lines(spark, path, encoding)
+    written = write_raw(lines, raw, rejected)
     counties = spark.table("Voter.CountyCodes")
     overwrite_table(count_voters(written, counties), counts)
     overwrite_table(format_voters(written, spark.table("Voter.ElectionCodes"), counties, as_of), formatted)

@@ -20,7 +20,9 @@ def _comma_count(line):
 
 def unreadable(line):
     """Why a line cannot be parsed, or null."""
-    return F.when(F.contains(line, F.lit("\0")), "NUL").when(_comma_count(line) >= MAX_FIELDS, "too many fields")
+    # only a line of that many characters can have that many commas
+    crowded = F.when(F.length(line) < MAX_FIELDS, False).otherwise(_comma_count(line) >= MAX_FIELDS)
+    return F.when(F.contains(line, F.lit("\0")), "NUL").when(crowded, "too many fields")
 
 
 def rejected_lines(lines, value="value"):
@@ -29,16 +31,20 @@ def rejected_lines(lines, value="value"):
     return lines.where(F.col(value).isNotNull()).select(value, reason.alias("reason")).where("reason is not null")
 
 
-def parse_delimited(lines, schema, value="value"):
+def parse_delimited(lines, schema, value="value", tally=None):
     """Headerless quoted CSV lines to typed columns.
 
     Every field is trimmed; integers that do not parse and fields the line does not have
     are null, fields beyond the schema are ignored, fields of any length are kept.  A line that
     holds a NUL or more than ``MAX_FIELDS`` fields is found by ``rejected_lines`` instead.
+    ``tally``, an ``Observation``, gets the number of ``lines`` and of those ``rejected`` when the rows are written.
     """
     line = F.col(value)
     fields = ", ".join(f"f{i} string" for i in range(len(schema)))
-    parsed = lines.where(unreadable(line).isNull() & line.isNotNull()).select(
+    judged = lines.where(line.isNotNull()).select(line.alias(value), unreadable(line).alias("reason"))
+    if tally is not None:
+        judged = judged.observe(tally, F.count("*").alias("lines"), F.count("reason").alias("rejected"))
+    parsed = judged.where(F.col("reason").isNull()).select(
         F.from_csv(line, fields, {"escape": '"', "maxColumns": str(MAX_FIELDS), "maxCharsPerColumn": "-1"}).alias("cells"),
         F.when(line == "", 0).otherwise(_comma_count(line) + 1).alias("n"),
     )
