@@ -1,5 +1,7 @@
 """Sinks of the warehouse and the example queries its users run."""
 
+import uuid
+
 from civicmill.functions.casts import conform
 
 
@@ -8,25 +10,68 @@ def _prepared(spark, name):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
 
 
-def overwrite_table(df, name, schema=None, partition_by=None, path=None):
+def _versions_folder(spark, name):
+    """Where the versions of a table lie, beside the folders of its database."""
+    database, _, table = name.rpartition(".")
+    return f"{spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri}/{table.lower()}.versions"
+
+
+def _location(spark, name):
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    return told["data_type"] if told else None
+
+
+def _point_to(spark, name, schema, folder):
+    """Let the table be the files in ``folder``; one catalog change where its columns stay the same."""
+    plain = lambda fields: [(f.name, f.dataType) for f in fields]
+    if spark.catalog.tableExists(name):
+        described = spark.table(name)
+        listed = spark.catalog.listColumns(name)
+        if plain(described.schema) == plain(schema) and not any(c.isPartition for c in listed):
+            quoted = folder.replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{quoted}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, folder, "parquet", schema)
+
+
+def _remove_older(spark, base, kept):
+    """Remove finished versions but those in ``kept``; one still being written has no mark of success."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    files = root.getFileSystem(conf)
+    names = {k.rstrip("/").rsplit("/", 1)[-1] for k in kept if k}
+    for entry in files.listStatus(root):
+        folder = entry.getPath()
+        done = files.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
+        if folder.getName().startswith("version-") and folder.getName() not in names and done:
+            files.delete(folder, True)
+
+
+def overwrite_table(df, name, schema=None, cluster_by=None, path=None):
     """Replace a table, or create it.  With ``schema`` the rows are first made to conform.
 
-    A partitioned table is rebalanced by its partition column, so that files come out of a
-    sensible size and a value that holds much of the data is written by several tasks.
-    ``path`` keeps the files outside the warehouse folder.  The result has the declared order of
-    columns; the stored table has its partition column last.
+    The rows are written as a new version in a folder of its own, and then the table's location
+    is changed, so a run that fails leaves the table as it was, and ``df`` may read the
+    table it replaces.  The version before stays for queries that are still reading it; older ones are
+    removed.  A table whose columns change is dropped and created again.
+    ``cluster_by`` sorts the files by a column, so that filters on it skip most of them; a value that holds
+    much of the data is written by several tasks.  The table keeps the order of the columns.
+    ``path`` keeps the versions outside the warehouse folder.
     """
-    _prepared(df.sparkSession, name)
+    spark = df.sparkSession
+    _prepared(spark, name)
     out = conform(df, schema) if schema is not None else df
-    if partition_by:
-        out = out.hint("rebalance", partition_by)
-    writer = out.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name).select(*out.columns)
+    if cluster_by:
+        out = out.hint("rebalance", cluster_by).sortWithinPartitions(cluster_by)
+    base = path or _versions_folder(spark, name)
+    folder = f"{base.rstrip('/')}/version-{uuid.uuid4().hex}"
+    out.write.parquet(folder)
+    before = _location(spark, name) if spark.catalog.tableExists(name) else None
+    _point_to(spark, name, out.schema, folder)
+    _remove_older(spark, base, (folder, before))
+    return spark.table(name)
 
 
 def append_table(df, name, schema=None, path=None):
