@@ -15,7 +15,8 @@ HIDDEN = (
     r"|<head\b.*?</head\s*>"
     r"|<title\b.*?(?:</title\s*>|\z)"
 )
-TAG = r"(?s)</?[a-zA-Z!?][^>]*>"
+# A tag ends at the first ``>`` outside quotes, or, if its quotes are left open, at the first of all.
+TAG = r"""(?s)</?[a-zA-Z!?](?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*>)"""
 
 
 @F.pandas_udf(T.StringType())

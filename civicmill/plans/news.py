@@ -1,5 +1,6 @@
 """Landed feeds and pages to News.Semantic; legislation differs by its keywords only."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from civicmill import schemas
@@ -19,15 +20,19 @@ KEYWORDS = [
 ]
 
 
-def with_page_text(items, pages):
+def with_page_text(items, pages, landed="landed"):
     """Add the visible text of the page each item links to; null where it has not landed.
 
     Only linked pages are cleaned, each once however many items link to it.  Of pages landed
-    twice under one address the greatest counts.
+    twice under one address the latest by the column ``landed`` counts, if there is one; of several
+    the one whose content has the smallest hash.  Pages are ranked before they move, and a task
+    sends one of each address.
     """
-    landed = pages.select(F.col("url").alias("__url"), F.col("html").alias("__html"))
+    when = F.col(landed) if landed in pages.columns else F.lit(None).cast("timestamp")
+    landed = pages.select(F.col("url").alias("__url"), F.col("html").alias("__html"), when.alias("__when"))
     linked = landed.join(items.select(F.col("link").alias("__url")), "__url", "left_semi")
-    single = linked.groupBy("__url").agg(F.max("__html").alias("__html"))
+    latest = Window.partitionBy("__url").orderBy(F.col("__when").desc_nulls_last(), F.xxhash64("__html"))
+    single = linked.withColumn("__place", F.row_number().over(latest)).where("__place = 1")
     cleaned = single.select("__url", visible_text(F.col("__html")).alias("text"))
     joined = items.join(cleaned, items["link"] == cleaned["__url"], "left")
     return joined.select(*[items[c] for c in items.columns], "text")
