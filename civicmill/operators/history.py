@@ -17,6 +17,14 @@ def _recent_codes(codes, as_of):
     return known.where(listed).select("Election", primary.alias("primary"))
 
 
+def _listed(tokens, codes):
+    """SQL for the tokens that are among the codes: one text, where a literal each would be slow to plan."""
+    if not codes:
+        return "cast(array() AS array<string>)"
+    quoted = ", ".join("'%s'" % code.replace("\\", "\\\\").replace("'", "\\'") for code in codes)
+    return f"filter({tokens}, code -> code IN ({quoted}))"
+
+
 def _with_flags(df):
     return df.withColumn("Prime", F.col(COUNTERS[1]) > 0)
 
@@ -25,8 +33,8 @@ def count_history(df, codes, as_of, history="VoterHistory"):
     """Add five-year elections, five-year primaries and the prime flag.
 
     The history is split on semicolons; empty and unknown codes do not count, repeated codes
-    count again.  The code table becomes two hash-set filters on the split history, so voters are
-    not shuffled.  Recent codes beyond the size check are refused; for them there is
+    count again.  The code table becomes two hash-set filters on the split history, each one
+    expression however long the table is, so voters are not shuffled.  Recent codes beyond the size check are refused; for them there is
     ``count_history_by_join``.
     """
     recent = _recent_codes(codes, as_of)
@@ -36,15 +44,14 @@ def count_history(df, codes, as_of, history="VoterHistory"):
     every = [row["Election"] for row in known]
     primaries = [row["Election"] for row in known if row["primary"]]
     tokens = F.split(F.coalesce(history, F.lit("")), ";")
-    kept = lambda codes, wanted: F.filter(codes, lambda code: code.isin(wanted))
-    found = df.withColumn("__recent", kept(tokens, every) if every else F.array().cast("array<string>"))
+    found = df.withColumn("__tokens", tokens).withColumn("__recent", F.expr(_listed("__tokens", every)))
     counted = found.withColumns(
         {
             COUNTERS[0]: F.size("__recent").cast("long"),
-            COUNTERS[1]: F.size(kept(F.col("__recent"), primaries)).cast("long") if primaries else F.lit(0).cast("long"),
+            COUNTERS[1]: F.size(F.expr(_listed("__recent", primaries))).cast("long"),
         }
     )
-    return _with_flags(counted.drop("__recent"))
+    return _with_flags(counted.drop("__tokens", "__recent"))
 
 
 def count_history_by_join(df, codes, as_of, history="VoterHistory"):

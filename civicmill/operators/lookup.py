@@ -46,8 +46,10 @@ def expand_with(df, extra, key, replace):
     """
     new = {f"__{target}": source for target, source in replace.items()}
     side = extra.select(F.col(f"`{key}`").alias("__owner"), *[F.col(s).alias(n) for n, s in new.items()])
-    copies = df.join(small_side(side), F.col(f"`{key}`") == F.col("__owner"))
-    copies = copies.select(
-        *[F.col(f"__{c}" if c in replace else f"`{c}`").alias(c) for c in df.columns]
+    # each row once as it is and once to be matched, so ``df`` is read once
+    twice = df.withColumn("__copy", F.explode(F.array(F.lit(False), F.lit(True))))
+    matched = twice.join(small_side(side), (F.col(f"`{key}`") == F.col("__owner")) & F.col("__copy"), "left")
+    kept = matched.where(~F.col("__copy") | F.col("__owner").isNotNull())
+    return kept.select(
+        *[F.when(F.col("__copy"), F.col(f"__{c}")).otherwise(F.col(f"`{c}`")).alias(c) if c in replace else F.col(f"`{c}`") for c in df.columns]
     )
-    return df.unionByName(copies)
