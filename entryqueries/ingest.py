@@ -1,17 +1,19 @@
 """Sources and sinks: the tables are written in a messy form and read back."""
 
+import json
 import uuid
 
 from pyspark.sql import functions as F
 
 from civicmill import schemas
 from civicmill.functions.casts import conform
+from civicmill.plans.lookups import load_lookup
 from civicmill.plans.results import ALIASES, filename_fields
 from civicmill.plans.warehouse import append_table, overwrite_table
 from civicmill.session import scratch_path
 from civicmill.sources.csv_sets import read_csv_set, read_encoded_lines, read_header_groups, read_lookup
 from civicmill.sources.html_tables import html_table_rows
-from civicmill.sources.lines import packed_cell, packed_cells, parse_delimited, parse_fixed_width, parse_ranges
+from civicmill.sources.lines import packed_cell, packed_cells, parse_delimited, parse_fixed_width, parse_ranges, rejected_lines
 from entryqueries.tables import cents, every, landed_lines, read
 
 c, lit = F.col, F.lit
@@ -218,7 +220,16 @@ def overwrite_roundtrip(spark, sf_dir):
     rows, path = _order_rows(spark, sf_dir), scratch_path(spark, "overwrite")
     name = f"overwritten_{uuid.uuid4().hex}"
     overwrite_table(rows.withColumn("cents", lit(0).cast("long")), name, path=path)
-    return overwrite_table(rows, name, partition_by="o_orderstatus", path=path)
+    return overwrite_table(rows, name, cluster_by="o_orderstatus", path=path)
+
+
+def overwrite_self(spark, sf_dir):
+    """A table replaced by what a query over itself gives."""
+    rows, path = _order_rows(spark, sf_dir), scratch_path(spark, "overwrite-self")
+    name = f"overwritten_self_{uuid.uuid4().hex}"
+    stored = overwrite_table(rows, name, path=path)
+    per_status = stored.groupBy("o_orderstatus").agg(F.max("cents").alias("most"))
+    return overwrite_table(stored.join(per_status, "o_orderstatus").where("2 * cents > most").drop("most"), name, path=path)
 
 
 def append_roundtrip(spark, sf_dir):
@@ -233,6 +244,10 @@ SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice * 100) AS B
        CAST(o_orderdate AS DATE) AS day FROM orders"""
 
 
+OVERWRITE_SELF = f"""
+SELECT * FROM ({_ORDER_ROWS}) QUALIFY 2 * cents > max(cents) OVER (PARTITION BY o_orderstatus)"""
+
+
 def html_rows(spark, sf_dir):
     """A page per customer with two tables; the larger one has a short row and a total row."""
     rows = read(spark, sf_dir, "customer")
@@ -274,6 +289,43 @@ def lookup_load(spark, sf_dir):
 LOOKUP_LOAD = """SELECT CAST(n_nationkey AS BIGINT) AS Code, n_name || ', "the"' AS Name FROM nation"""
 
 
+def lookup_by_schema_file(spark, sf_dir):
+    """A lookup CSV, written and loaded as its JSON schema file says, with bad numbers, dates and a repeated field."""
+    data, described = scratch_path(spark, "lookup-data"), scratch_path(spark, "lookup-schema")
+    rows = read(spark, sf_dir, "supplier").select(
+        F.when(every("s_suppkey", 9), lit("none")).otherwise(c("s_suppkey").cast("string")), F.concat(c("s_name"), lit(', "Ltd"')),
+        F.when(every("s_suppkey", 4), lit("2016-02-30")).otherwise(F.concat(lit("2016-02-0"), (c("s_nationkey") % 9 + 1).cast("string"))),
+        F.concat(lit("["), c("s_nationkey").cast("string"), lit(", 7]")))
+    rows.write.option("escape", '"').csv(data)
+    told = [{"name": "Key", "type": "integer"}, {"name": "Name", "type": "STRING", "mode": "REQUIRED"}, {"name": "Since", "type": "date"},
+            {"name": "Nations", "type": "INTEGER", "mode": "REPEATED"}]
+    spark.createDataFrame([(json.dumps(told),)], "value string").coalesce(1).write.text(described)
+    table = load_lookup(spark, data, described, f"described_{uuid.uuid4().hex}")
+    return table.select("Key", "Name", "Since", c("Nations")[0].alias("first"), F.size("Nations").alias("many"))
+
+
+LOOKUP_BY_SCHEMA_FILE = """
+SELECT CASE WHEN s_suppkey % 9 <> 0 THEN CAST(s_suppkey AS BIGINT) END AS "Key", s_name || ', "Ltd"' AS "Name",
+       CASE WHEN s_suppkey % 4 <> 0 THEN make_date(2016, 2, CAST(s_nationkey % 9 + 1 AS BIGINT)) END AS "Since",
+       CAST(s_nationkey AS BIGINT) AS first, 2 AS many
+FROM supplier"""
+
+
+def refused_lines(spark, sf_dir):
+    """Parsed and rejected lines of one landed file; every thirteenth line holds a NUL."""
+    line = F.concat(c("c_custkey").cast("string"), F.when(every("c_custkey", 13), lit("\0")).otherwise(lit("")), lit(","), c("c_name"))
+    lines = landed_lines(read(spark, sf_dir, "customer"), line, "refused")
+    parsed = parse_delimited(lines, schemas.schema((schemas.LONG, "custkey"), (schemas.STRING, "name")))
+    found = rejected_lines(lines).select(F.regexp_replace("value", "\0.*", "").cast("long").alias("custkey"), lit(None).cast("string").alias("name"), "reason")
+    return parsed.withColumn("reason", lit(None).cast("string")).unionByName(found)
+
+
+REFUSED_LINES = """
+SELECT CAST(c_custkey AS BIGINT) AS custkey, CASE WHEN c_custkey % 13 <> 0 THEN c_name END AS name,
+       CASE WHEN c_custkey % 13 = 0 THEN 'NUL' END AS reason
+FROM customer"""
+
+
 def encoded_lines(spark, sf_dir):
     """Bytes read as Latin-1, blank lines and control characters included, counted after decoding.
 
@@ -307,6 +359,9 @@ SELECT r.*, n, all_cents FROM rows r JOIN (
 
 QUERIES = {
     "lookup_load": lookup_load,
+    "lookup_by_schema_file": lookup_by_schema_file,
+    "refused_lines": refused_lines,
+    "overwrite_self": overwrite_self,
     "encoded_lines": encoded_lines,
     "shared_input_tables": shared_input_tables,
     "delimited_parse": delimited_parse,
@@ -323,6 +378,9 @@ QUERIES = {
 
 ORACLES = {
     "lookup_load": LOOKUP_LOAD,
+    "lookup_by_schema_file": LOOKUP_BY_SCHEMA_FILE,
+    "refused_lines": REFUSED_LINES,
+    "overwrite_self": OVERWRITE_SELF,
     "encoded_lines": ENCODED_LINES,
     "shared_input_tables": SHARED_INPUT_TABLES,
     "delimited_parse": DELIMITED_PARSE,

@@ -62,6 +62,18 @@ _VISIBLE = f"trim(regexp_replace({_VISIBLE}, '\\s+', ' ', 'g'))"
 HTML_VISIBLE_TEXT = f"SELECT page_id, {_VISIBLE} AS text FROM pages"
 
 
+def tagged_text(spark, sf_dir):
+    """A page around known values; its tags hold quoted ``>``, quotes in quotes, and one left open."""
+    page = F.concat(
+        lit("<!DOCTYPE html><title>x</title><body class='a>b'><p title=\"x > y\" lang='>'>"), c("c_name"), lit("</p><img alt='a \"> b' src=q>"),
+        c("c_mktsegment"), lit("<br/>&lt;"), c("c_custkey").cast("string"), lit("&gt; 3 < 4 <a href=\"open>"), c("c_nationkey").cast("string"), lit("</a>"))
+    return read(spark, sf_dir, "customer").select("c_custkey", visible_text(page).alias("text"))
+
+
+TAGGED_TEXT = """
+SELECT c_custkey, c_name || ' ' || c_mktsegment || ' <' || c_custkey || '> 3 < 4 ' || c_nationkey AS text FROM customer"""
+
+
 def article_text(spark, sf_dir):
     """Two items per page; some link to pages that never landed."""
     pages = read(spark, sf_dir, "pages")
@@ -135,6 +147,7 @@ QUERIES = {
     "rss_items": rss_items,
     "pubdate_parse": pubdate_parse,
     "html_visible_text": html_visible_text,
+    "tagged_text": tagged_text,
     "article_text": article_text,
     "text_ascii": text_ascii,
     "keyword_articles": keyword_articles,
@@ -145,6 +158,7 @@ ORACLES = {
     "rss_items": RSS_ITEMS,
     "pubdate_parse": PUBDATE_PARSE,
     "html_visible_text": HTML_VISIBLE_TEXT,
+    "tagged_text": TAGGED_TEXT,
     "article_text": ARTICLE_TEXT,
     "text_ascii": TEXT_ASCII,
     "keyword_articles": KEYWORD_ARTICLES,

@@ -56,6 +56,59 @@ def test_voter_tables(spark, voter_tables):
     assert (got["NY2"]["FullName"], got["NY2"]["Age"], got["NY2"]["DateOfBirth"]) == ("John Q O'Neil Jr", None, None)
 
 
+def test_raw_table_keeps_the_declared_order(spark, voter_tables):
+    assert spark.sql("SELECT * FROM Voter.Raw").columns == schemas.VOTER_RAW.names
+    assert warehouse.run_example(spark, "voters_of_district", district=31).columns == schemas.VOTER_RAW.names
+    assert spark.table("Voter.Rejected").count() == 0
+
+
+def test_rejected_lines_and_encoding(spark, tmp_path):
+    good = [voter_line(LASTNAME=name, COUNTYCODE="5") for name in ("PEÑA", "Ó'NEIL", "LEE")]
+    bad = [voter_line(LASTNAME="A\0B"), "x," * ((1 << 20) + 1)]
+    file = tmp_path / "voters.csv"
+    file.write_bytes("\n".join([good[0], bad[0], good[1], bad[1], good[2]]).encode("latin-1"))
+    lines = voter.read_encoded_lines(spark, str(file))
+    written = voter.write_raw(lines, "Voter.OldRaw", "Voter.OldRejected")
+    assert sorted(r["LASTNAME"] for r in written.collect()) == ["LEE", "PEÑA", "Ó'NEIL"]
+    assert sorted((r["line"] in bad, r["reason"]) for r in spark.table("Voter.OldRejected").collect()) == [(True, "NUL"), (True, "too many fields")]
+
+
+def test_overwrite_keeps_the_old_table_when_it_fails(spark):
+    rows_ = spark.createDataFrame([(i, f"v{i % 3}") for i in range(90)], "b long, a string")
+    name = "Voter.Staged"
+    warehouse.overwrite_table(rows_, name, cluster_by="a")
+    with pytest.raises(Exception):
+        warehouse.overwrite_table(rows_.withColumn("b", F.when(F.col("b") == 89, F.raise_error(F.lit("broken"))).otherwise(F.col("b"))), name)
+    assert spark.table(name).count() == 90 and spark.table(name).columns == ["b", "a"]
+    for left in (60, 60):   # a table that replaces itself
+        warehouse.overwrite_table(spark.table(name).where("a != 'v0'"), name)
+        assert spark.table(name).count() == left
+    warehouse.append_table(rows_.limit(1), name)
+    assert spark.table(name).count() == 61
+    versions = warehouse._versions_folder(spark, name)
+    import os
+    kept = [f for f in os.listdir(versions.removeprefix("file:")) if f.startswith("version-")]
+    assert len(kept) == 3   # the present one, the one before, and the one that failed
+    warehouse.overwrite_table(rows_.select("a"), name)
+    assert spark.table(name).columns == ["a"] and spark.table(name).count() == 90
+
+
+def test_lookups_by_schema_files(spark, tmp_path):
+    from civicmill.plans.lookups import load_lookups
+    from civicmill.sources.described import struct_of
+
+    write(tmp_path, "CountyCodes.data.csv", '31,New York\nx,"Odd, one"\n')
+    write(tmp_path, "CountyCodes.schema.json", '[\n {"name": "Code", "type": "integer"},\n {"name": "Name", "type": "string"}]')
+    load_lookups(spark, str(tmp_path), {"Voter.OtherCounties": "CountyCodes"})
+    table = spark.table("Voter.OtherCounties")
+    assert table.schema == schemas.COUNTY_CODES and rows(table) == [(None, "Odd, one"), (31, "New York")]
+    nested = struct_of([{"name": "a", "type": "RECORD", "mode": "REPEATED", "fields": [{"name": "b", "type": "float", "mode": "REQUIRED"}]}])
+    assert nested.simpleString() == "struct<a:array<struct<b:double>>>" and not nested["a"].dataType.elementType["b"].nullable
+    for odd in ([{"name": "a", "type": "shape"}], [{"name": "a", "type": "string", "mode": "MANY"}]):
+        with pytest.raises(ValueError):
+            struct_of(odd)
+
+
 def test_voter_examples(spark, voter_tables):
     run = warehouse.run_example
     assert run(spark, "voter_by_name", name="Lydia Nieves", county="New York").first()["FiveYearElections"] == 2
@@ -190,6 +243,18 @@ def test_news_table_appends(spark):
     assert news.tag_landed(pages.withColumnRenamed("html", "text"), ["Ann Lee"]).count() == 1
 
 
+def test_latest_page_counts(spark):
+    items = spark.createDataFrame([("l1",), ("l2",), ("l3",)], "link string")
+    pages = spark.createDataFrame(
+        [("l1", "<p>old, but greater</p>", 1), ("l1", "<p>new</p>", 2), ("l1", "<p>undated</p>", None), ("l2", "<p>one</p>", 1), ("l2", "<p>one</p>", 1)],
+        "url string, html string, landed long")
+    found = news.with_page_text(items, pages)
+    assert rows(found) == [("l1", "new"), ("l2", "one"), ("l3", None)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "max(" not in plan
+    assert rows(news.with_page_text(items, pages.drop("landed")))[1:] == [("l2", "one"), ("l3", None)]
+
+
 def test_lookup_files(spark, tmp_path):
     from civicmill.sources.csv_sets import read_lookup
 

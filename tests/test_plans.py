@@ -59,6 +59,37 @@ def test_match_voters_push_their_filter(spark, tmp_path):
     assert "EqualTo(SD,31)" in text and "EqualTo(STATUS,ACTIVE)" in text and "Exchange" not in text
 
 
+def test_many_election_codes_plan_fast_and_shuffle_no_voter(spark, tmp_path):
+    import time
+
+    from civicmill.operators.history import count_history
+
+    path = f"{tmp_path}/codes"
+    code = F.concat(F.lit("E'\\"), F.col("id").cast("string"))
+    kind = F.when(F.col("id") % 2 == 0, "Primary").otherwise("General")
+    spark.range(50_000).select(code.alias("Election"), kind.alias("Type"), F.lit(date(2019, 1, 1)).alias("Date")).write.parquet(path)
+    codes = spark.read.parquet(path)
+    voters = spark.createDataFrame([(1, "E'\\4;E'\\7;E'\\4;none"), (2, None)], "id long, VoterHistory string")
+    count_history(voters, codes.limit(10), F.lit(date(2020, 1, 1))).collect()
+    counted = count_history(voters, codes, F.lit(date(2020, 1, 1)))
+    started = time.time()
+    text = voter_side(counted._jdf.queryExecution().optimizedPlan().toString())
+    assert time.time() - started < 6 and "Join" not in text
+    assert sorted((r["id"], r["FiveYearElections"], r["FiveYearPrimaries"], r["Prime"]) for r in counted.collect()) == [(1, 3, 2, True), (2, 0, 0, False)]
+
+
+def test_committees_read_filers_once(spark, tmp_path):
+    from civicmill.operators.lookup import expand_with
+
+    spark.createDataFrame([("A", "x"), ("B", "y"), (None, "z")], "id string, name string").write.parquet(f"{tmp_path}/filers")
+    filers = spark.read.parquet(f"{tmp_path}/filers")
+    extra = spark.createDataFrame([("A", "A1", "c1"), ("A", "A2", None), (None, "N", "n")], "owner string, other string, c string")
+    found = expand_with(filers, extra.withColumnRenamed("owner", "id"), "id", {"id": "other", "name": "c"})
+    assert plan(found).count("FileScan parquet") == 1
+    assert sorted(map(str, found.collect())) == sorted(map(str, spark.createDataFrame(
+        [("A", "x"), ("B", "y"), (None, "z"), ("A1", "c1"), ("A2", None)], "id string, name string").collect()))
+
+
 def test_merge_shuffles_each_side_once(spark):
     a = spark.read.parquet(f"{SF}/orders.parquet").select(F.col("o_orderkey").alias("k"), "o_custkey")
     b = spark.read.parquet(f"{SF}/customer.parquet").select(F.col("c_custkey").alias("k"), "c_name")
