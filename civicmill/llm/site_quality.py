@@ -2,8 +2,11 @@
 
 A logistic regression on measures of the text gives every document's evidence.  The mean of the
 documents' probabilities is the global prior.  A host's rate is its own mean, shrunk toward the
-global prior as if that had been seen on ``STRENGTH`` documents, and a path's rate is shrunk toward
-its host's in the same way.  The posterior adds the document's log odds to those of its path.
+global prior as if that had been seen on a number of documents, the strength, and a path's rate is
+shrunk toward its host's in the same way.  The strengths are estimated from the sites by the method of moments:
+the variance of documents within a path, over that of hosts around the prior, and over that of
+paths around their hosts.  So sites that hardly differ get nearly the prior, and sites that differ
+much keep their own rate.  The posterior adds the document's log odds to those of its path.
 
 A document's ``source`` names its site: ``host/path...``, of which the first part is the host and the
 first two are the path.  A source without a path has one path per language.
@@ -17,7 +20,7 @@ from civicmill.session import cut
 
 PER_LABEL = 3000            # training documents of each label at most
 MAX_CHARS = 200_000         # longer documents are scored, but not learned from
-STRENGTH = 50               # documents that a prior counts for
+MOST_STRENGTH = 1e9         # documents that a prior counts for where the sites do not differ
 WEIGHT = 0.5                # of the site's log odds, relative to the document's
 REJECT_BELOW = 0.5
 FEATURES = ["log_words", "word_length", "symbols", "capitals", "marks", "short", "distinct", "same_next", "line_words",
@@ -108,11 +111,41 @@ def _site(source, lang):
         F.concat(F.lit("lang:"), F.coalesce(lang, F.lit(""))))
 
 
-def posteriors(docs, labels, strength=STRENGTH, weight=WEIGHT):
+def site_strengths(paths, hosts):
+    """(strength of the prior, strength of a host's rate), by the method of moments.
+
+    ``paths`` has host, path, path_n, path_sum and path_squares, ``hosts`` host, host_n and host_sum: counts and sums of
+    the probabilities and of their squares, in millionths.  Only sums over all sites reach the driver.
+    """
+    million = 1_000_000
+    nested = paths.join(hosts, "host")
+    mean, own = F.col("path_sum") / F.col("path_n") / million, F.col("host_sum") / F.col("host_n") / million
+    low = nested.agg(
+        F.count("*"), F.sum("path_n"), F.sum(F.col("path_squares") / million - F.col("path_n") * mean * mean),
+        F.sum(F.col("path_n") * (mean - own) * (mean - own)), F.sum(F.col("path_n") * (F.col("path_n") / F.col("host_n")))).first()
+    n_paths, n, inside, between_paths, kept_paths = (float(v or 0) for v in low)
+    top = hosts.agg(F.count("*"), F.sum("host_sum"), F.sum(F.col("host_n") * own * own), F.sum(F.col("host_n").cast("double") * F.col("host_n"))).first()
+    n_hosts, all_sum, squares, kept_hosts = (float(v or 0) for v in top)
+    if not n:
+        return MOST_STRENGTH, MOST_STRENGTH
+    within = max(0.0, inside) / max(1.0, n - n_paths)
+    prior = all_sum / n / million
+
+    def strength(between, degrees, size):
+        variance = (between - degrees * within) / size if size > 0 else 0.0
+        found = within / variance if variance > 0 else MOST_STRENGTH
+        return float(f"{min(found, MOST_STRENGTH):.6g}")
+
+    return (strength(squares - n * prior * prior, n_hosts - 1, n - kept_hosts / n),
+            strength(between_paths, n_paths - n_hosts, n - kept_paths))
+
+
+def posteriors(docs, labels, weight=WEIGHT):
     """(doc_id, row_key, evidence, host, path, host_rate, path_rate, score, rejected), one row per row.
 
     ``docs`` has doc_id, text, lang and source.  Null or empty texts have the features of an empty
-    text, null sources and languages form a site of their own, equal rows get equal results.  Sums
+    text, null sources and languages form a site of their own, equal rows get equal results.  An empty table
+    gives no rows; other columns are not read.  Sums
     are of whole millionths, so they do not depend on the order of the rows.  Host and path sums
     are combined before the shuffle; a host that holds a third of all rows sends one row per task.
     """
@@ -123,22 +156,23 @@ def posteriors(docs, labels, strength=STRENGTH, weight=WEIGHT):
         log_odds(weights).alias("evidence"))
     rows = cut(rows)
     million = F.round(_logistic(F.col("evidence")) * 1_000_000).cast("long")
-    paths = rows.groupBy("host", "path").agg(F.count("*").alias("path_n"), F.sum(million).alias("path_sum"))
+    square = F.round(F.pow(_logistic(F.col("evidence")), 2) * 1_000_000).cast("long")
+    paths = rows.groupBy("host", "path").agg(F.count("*").alias("path_n"), F.sum(million).alias("path_sum"), F.sum(square).alias("path_squares"))
+    paths = cut(paths)
     hosts = paths.groupBy("host").agg(F.sum("path_n").alias("host_n"), F.sum("path_sum").alias("host_sum"))
-    whole = hosts.agg(F.sum("host_n").alias("all_n"), F.sum("host_sum").alias("all_sum"))
-
-    prior = F.col("all_sum") / F.col("all_n") / 1_000_000
-    host_rate = (F.col("host_sum") / 1_000_000 + strength * prior) / (F.col("host_n") + strength)
-    path_rate = (F.col("path_sum") / 1_000_000 + strength * F.col("host_rate")) / (F.col("path_n") + strength)
-    # one row that holds the global sums
-    rates = paths.join(hosts.crossJoin(F.broadcast(whole)).withColumn("prior", prior).withColumn("host_rate", host_rate), "host")
-    rates = rates.withColumn("path_rate", path_rate).select("host", "path", "prior", "host_rate", "path_rate")
+    to_prior, to_host = site_strengths(paths, hosts)
+    whole = hosts.agg(F.sum("host_n"), F.sum("host_sum")).first()
+    prior = F.lit(float(whole[1]) / whole[0] / 1_000_000 if whole[0] else 0.5)
+    host_rate = (F.col("host_sum") / 1_000_000 + to_prior * prior) / (F.col("host_n") + to_prior)
+    path_rate = (F.col("path_sum") / 1_000_000 + to_host * F.col("host_rate")) / (F.col("path_n") + to_host)
+    rates = paths.join(hosts, "host").withColumn("host_rate", host_rate)
+    rates = rates.withColumn("path_rate", path_rate).select("host", "path", "host_rate", "path_rate")
 
     def logit(p):
         held = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), p))
         return F.log(held / (1 - held))
 
-    score = _logistic(F.col("evidence") + weight * (logit(F.col("path_rate")) - logit(F.col("prior"))))
+    score = _logistic(F.col("evidence") + weight * (logit(F.col("path_rate")) - logit(prior)))
     return rows.join(rates, ["host", "path"]).withColumn("score", F.round(score, 6)).withColumn(
         "rejected", F.col("score") < REJECT_BELOW).select(
         "doc_id", "row_key", "evidence", "host", "path", "host_rate", "path_rate", "score", "rejected")

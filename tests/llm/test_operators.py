@@ -267,17 +267,47 @@ def test_site_quality(spark):
     for r in rows:
         hosts[r["host"]].append(p[id(r)])
         paths[r["host"], r["path"]].append(p[id(r)])
+    to_prior, to_host = plain_strengths(paths, hosts)
     for r in rows[:200]:
-        host = (sum(hosts[r["host"]]) + 50 * prior) / (len(hosts[r["host"]]) + 50)
-        path = (sum(paths[r["host"], r["path"]]) + 50 * host) / (len(paths[r["host"], r["path"]]) + 50)
+        host = (sum(hosts[r["host"]]) + to_prior * prior) / (len(hosts[r["host"]]) + to_prior)
+        path = (sum(paths[r["host"], r["path"]]) + to_host * host) / (len(paths[r["host"], r["path"]]) + to_host)
         logit = lambda q: np.log(q / (1 - q))
         score = 1 / (1 + np.exp(-(r["evidence"] + 0.5 * (logit(path) - logit(prior)))))
-        assert r["path_rate"] == pytest.approx(path, abs=1e-6) and r["score"] == pytest.approx(score, abs=1e-5)
+        assert r["path_rate"] == pytest.approx(path, abs=1e-4) and r["score"] == pytest.approx(score, abs=1e-3)
     judged = site_quality.quality_digest(docs, labels).where("held_out").join(labels, "doc_id").collect()
     assert np.mean([r["rejected"] for r in judged if not r["quality"]]) > 0.9
     assert np.mean([r["rejected"] for r in judged if r["quality"]]) < 0.03
 
 
+def plain_strengths(paths, hosts):
+    """Within variance over between variance, for hosts around the mean and for paths around their hosts."""
+    everything = np.concatenate([np.array(v) for v in paths.values()])
+    within = sum(((np.array(v) - np.mean(v)) ** 2).sum() for v in paths.values()) / (len(everything) - len(paths))
+    n, sizes = len(everything), {h: len(v) for h, v in hosts.items()}
+    between = sum(len(v) * (np.mean(v) - everything.mean()) ** 2 for v in hosts.values()) - (len(hosts) - 1) * within
+    inner = sum(len(v) * (np.mean(v) - np.mean(hosts[k[0]])) ** 2 for k, v in paths.items()) - (len(paths) - len(hosts)) * within
+    sizes_of = (n - sum(m * m for m in sizes.values()) / n, n - sum(len(v) ** 2 / sizes[k[0]] for k, v in paths.items()))
+    return [within / (b / s) if b > 0 else 1e9 for b, s in zip((between, inner), sizes_of)]
+
+
+def test_site_strengths(spark):
+    rng = np.random.default_rng(0)
+    for spread, less in ((0.25, 10), (0.0, None)):
+        rows = [(f"h{h}", f"p{q}", float(p)) for h in range(12) for q in range(4)
+                for p in np.clip(rng.normal(0.5 + spread * np.sin(h) + spread * np.cos(7 * h + q) / 2, 0.1, 40), 0, 1)]
+        df = spark.createDataFrame(rows, "host string, path string, p double")
+        whole = lambda v: F.sum(F.round(v * 1_000_000).cast("long"))
+        paths = df.groupBy("host", "path").agg(F.count("*").alias("path_n"), whole(F.col("p")).alias("path_sum"), whole(F.col("p") * F.col("p")).alias("path_squares"))
+        hosts = paths.groupBy("host").agg(F.sum("path_n").alias("host_n"), F.sum("path_sum").alias("host_sum"))
+        got = site_quality.site_strengths(paths, hosts)
+        by_host, by_path = defaultdict(list), defaultdict(list)
+        for h, q, p in rows:
+            by_host[h].append(p)
+            by_path[h, q].append(p)
+        assert got == pytest.approx(plain_strengths(by_path, by_host), rel=1e-3)
+        assert max(got) < less if less else max(got) > 100
+
+
 def brute_fingerprint(text):
     from xxhash import xxh64_intdigest
 
