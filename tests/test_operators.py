@@ -193,3 +193,43 @@ def test_keywords(spark):
     df = spark.createDataFrame([(1, "Ann met Bo"), (2, "nobody"), (3, None)], "id int, text string")
     got = entities.keyword_articles(df, ["Ann", "Bo", "bo"]).select("keyword", "id")
     assert rows(got, "id", "keyword") == [("Ann", 1), ("Bo", 1), ("bo", 2)]
+
+
+def test_donors_are_sent_only_where_their_length_can_match(spark):
+    rng = random.Random(3)
+    # strings of one block, from very short to very long
+    word = lambda n: "S" + "".join(rng.choice("ABCDE ") for _ in range(n - 1))
+    voters = sorted({word(rng.choice((4, 5, 9, 20, 21, 60, 61, 140))) for _ in range(130)})
+    donors = sorted({v[:-2] + "xy" if rng.random() < 0.5 else word(len(v)) for v in voters} | {word(900), word(2)})
+    d = spark.createDataFrame([(t,) for t in donors], "donor string")
+    v = spark.createDataFrame([(t, i) for i, t in enumerate(voters)], "voter string, voter_id long")
+    sides = {}
+    keep = match._tiled
+    def noted(side, own, other, *rest):
+        sides[own] = keep(side, own, other, *rest)
+        return sides[own]
+    match._tiled = noted
+    try:
+        got = match._one_pass(d, v, 1, None, 70, 8, 24).collect()
+    finally:
+        match._tiled = keep
+    best = {}
+    for a in donors:
+        for i, b in enumerate(voters):
+            lcs = slow_lcs(a, b)
+            total = len(a) + len(b)
+            score = (400 * lcs + total) // (2 * total)
+            level = next((k for k in range(min(8, len(a), len(b))) if a[k] != b[k]), min(8, len(a), len(b)))
+            if score >= 70:
+                best[a] = min(best.get(a, (1, 0, 0)), (-level, -score, i))
+    assert {r["donor"]: (-r["level"], -r["score"], r["voter_id"]) for r in got} == best
+    sent = {k: s.count() for k, s in sides.items()}
+    tiles = sides["voter"].select("voter_tile").distinct().count()
+    assert sent["donor"] < 0.7 * len(donors) * tiles
+    lengths = sides["donor"].select(F.length("donor").alias("n"), "slot", "donor_tile", "voter_tile").distinct().join(
+        sides["voter"].select(F.length("voter").alias("m"), "slot", "donor_tile", "voter_tile"), ["slot", "donor_tile", "voter_tile"])
+    per_tile = lengths.groupBy("slot", "donor_tile", "voter_tile").agg(
+        F.max((400 * F.least("n", "m") >= 139 * (F.col("n") + F.col("m"))).cast("int")).alias("some")).collect()
+    assert per_tile and all(r["some"] for r in per_tile)
+    assert sides["donor"].where(F.length("donor") == 900).count() == 0
+
