@@ -73,11 +73,6 @@ def _first_lines(spark, folder, excluded=()):
     return select_files(named, folder, excluded)
 
 
-def discover_headers(spark, path, excluded=()):
-    """(path, header): the first line with text of every CSV file under a folder."""
-    return _first_lines(spark, path, excluded).select("path", "header")
-
-
 def header_columns(header):
     """Column names of a header line."""
     return [name.strip() for name in next(csv.reader([header]), [])]
