@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,11 +135,22 @@ def score_entities_by_join(articles, gazetteer, lexicon, key, text="text", longe
 
 
 def keyword_articles(articles, keywords, text="text"):
-    """One row per keyword and article whose text contains it.
+    """One row per keyword and article whose text contains it; a keyword listed twice counts once.
 
-    The keywords are a short configured list, so they are literals filtered inside each row
-    and nothing is joined.
+    The keywords are a configured list.  They become one automaton, which is sent to the tasks once, so
+    a text is scanned once however many there are, and nothing is joined.  An empty keyword is in every
+    text; an article whose text is null has no rows.
     """
-    listed = F.array(*[F.lit(k) for k in keywords])
-    tagged = F.filter(listed, lambda k: F.contains(F.col(text), k))
-    return articles.select(F.explode(tagged).alias("keyword"), *articles.columns)
+    automaton = ahocorasick.Automaton()
+    for keyword in filter(None, keywords):
+        automaton.add_word(keyword, keyword)
+    automaton.make_automaton()
+    everywhere = {""} & set(keywords)
+    shared = articles.sparkSession.sparkContext.broadcast(automaton)
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def within(texts: pd.Series) -> pd.Series:
+        found = lambda t: (shared.value.iter(t) if len(shared.value) else ())
+        return texts.map(lambda t: sorted(everywhere | {k for _, k in found(t)}), na_action="ignore")
+
+    return articles.select(F.explode(within(F.col(text))).alias("keyword"), *articles.columns)
