@@ -8,7 +8,8 @@ from civicmill.functions.casts import conform
 from civicmill.functions.text import ascii_text, feed_time, visible_text
 from civicmill.operators.entities import entity_sentiment, keyword_articles
 from civicmill.plans.warehouse import append_table
-from civicmill.sources.feeds import rss_items
+from civicmill.session import remove_path, scratch_path
+from civicmill.sources.feeds import read_feed_items, rss_items
 
 # The news table holds texts of this many characters at most (fixed value).
 TEXT_LIMIT = 64 * 1024
@@ -58,10 +59,31 @@ def semantic(rows, gazetteer, lexicon, longest=2):
 
 
 def tag_landed(landed, keywords=KEYWORDS):
-    """Keyword rows of articles that were landed without a search keyword."""
-    return keyword_articles(landed, keywords)
+    """Keyword rows of articles that were landed without a search keyword.
+
+    A keyword counts in the text, and in the title of articles that have one.
+    """
+    searched = landed.withColumn("__searched", F.concat_ws("\n", *[c for c in ("title", "text") if c in landed.columns]))
+    return keyword_articles(searched, keywords, "__searched").drop("__searched")
 
 
 def load_news(spark, feeds, pages, gazetteer, lexicon, table="News.Semantic"):
     """The whole job; it adds to the table."""
     append_table(semantic(articles(feeds, pages), gazetteer, lexicon), table)
+
+
+def load_news_files(
+    spark, path, pages, gazetteer, lexicon, keywords=KEYWORDS, table="News.Semantic", rejected="News.Rejected"
+):
+    """The job for feed files of any size that were landed without a search keyword; it adds to both tables.
+
+    Each item is written under every keyword in its title or page text; items that cannot be
+    read go to ``rejected`` (file, item).  The files are read once.
+    """
+    landed = scratch_path(spark, "feed-items")
+    read_feed_items(spark, path).write.parquet(landed)
+    items = spark.read.parquet(landed)
+    found = with_page_text(items.where("unread is null").drop("unread"), pages)
+    append_table(semantic(tag_landed(found, keywords), gazetteer, lexicon), table)
+    append_table(items.where("unread is not null").select("file", F.col("unread").alias("item")), rejected)
+    remove_path(spark, landed)
