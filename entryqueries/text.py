@@ -5,14 +5,15 @@ from pyspark.sql import functions as F
 from civicmill.functions.text import ascii_text, feed_time, visible_text
 from civicmill.operators.entities import entity_sentiment, keyword_articles as tag_keywords
 from civicmill.plans.news import with_page_text
-from civicmill.sources.feeds import rss_items as read_items
+from civicmill.session import scratch_path
+from civicmill.sources.feeds import read_feed_items, rss_items as read_items
 from entryqueries.tables import every, read
 
 c, lit = F.col, F.lit
 FEED_TIME = "EEE, dd MMM yyyy HH:mm:ss 'GMT'"
 
 
-def rss_items(spark, sf_dir):
+def _feeds(spark, sf_dir, title=None):
     """A feed per event: two items, one, or none."""
     item = lambda title, when: F.concat(
         lit("<item><title>"), title, lit("</title><link>http://news.example/"), c("event_id"), lit("?a=1&amp;b=2</link><guid>x</guid>"),
@@ -20,11 +21,15 @@ def rss_items(spark, sf_dir):
     )
     when = F.date_format("ts", FEED_TIME)
     items = F.when(every("event_id", 10), lit("")).otherwise(F.concat(
-        item(F.concat(c("event_type"), lit(" é &lt;b&gt;")), when),
+        item(F.concat(c("event_type"), lit(" é &lt;b&gt;") if title is None else title), when),
         F.when(every("event_id", 3), item(F.concat(lit("user "), c("user_id")), when)).otherwise(lit("")),
     ))
     feed = F.concat(lit("<rss><channel><title>feed</title>"), items, lit("</channel></rss>"))
-    return read_items(read(spark, sf_dir, "events").select("event_id", feed.alias("feed")))
+    return read(spark, sf_dir, "events").select("event_id", feed.alias("feed"))
+
+
+def rss_items(spark, sf_dir):
+    return read_items(_feeds(spark, sf_dir))
 
 
 RSS_ITEMS = """
@@ -33,6 +38,26 @@ WITH i AS (SELECT event_id, event_type || ' ? <b>' AS title, ts FROM events WHER
 SELECT event_id, title, 'http://news.example/' || event_id || '?a=1&b=2' AS link, strftime(ts, '%a, %d %b %Y %H:%M:%S GMT') AS "pubDate" FROM i"""
 
 
+def feed_files(spark, sf_dir):
+    """The items of feed files that hold all feeds, with the text of those that cannot be read."""
+    title = F.when(every("event_id", 7), lit(" é <b>")).otherwise(lit(" é &lt;b&gt;"))
+    path = scratch_path(spark, "feeds")
+    _feeds(spark, sf_dir, title).select("feed").write.text(path)
+    return read_feed_items(spark, path).drop("file")
+
+
+FEED_FILES = """
+WITH i AS (SELECT event_id, event_type || CASE WHEN event_id % 7 = 0 THEN ' ? <b>' ELSE ' ? &lt;b&gt;' END AS told, event_type || ' ? <b>' AS title,
+                  event_id % 7 = 0 AS bad, ts FROM events WHERE event_id % 10 <> 0
+           UNION ALL SELECT event_id, '', 'user ' || user_id, false, ts FROM events WHERE event_id % 10 <> 0 AND event_id % 3 = 0),
+t AS (SELECT *, strftime(ts, '%a, %d %b %Y %H:%M:%S GMT') AS day FROM i)
+SELECT CASE WHEN NOT bad THEN title END AS title, CASE WHEN NOT bad THEN 'http://news.example/' || event_id || '?a=1&b=2' END AS link,
+       CASE WHEN NOT bad THEN day END AS "pubDate",
+       CASE WHEN bad THEN '<item><title>' || told || '</title><link>http://news.example/' || event_id || '?a=1&amp;b=2</link><guid>x</guid><pubDate>'
+                          || day || '</pubDate></item>' END AS unread
+FROM t"""
+
+
 def pubdate_parse(spark, sf_dir):
     text = F.when(every("event_id", 7), lit("yesterday")).otherwise(F.date_format("ts", FEED_TIME))
     return read(spark, sf_dir, "events").select("event_id", F.unix_timestamp(feed_time(text)).alias("seconds"))
@@ -107,6 +132,19 @@ KEYWORD_ARTICLES = f"""
 SELECT keyword, doc_id, lang, n_chars
 FROM documents JOIN (SELECT unnest({KEYWORDS}) AS keyword) ON contains(text, keyword)"""
 
+
+def many_keywords(spark, sf_dir):
+    """Documents under every word of four letters or more that a benchmark item holds."""
+    words = read(spark, sf_dir, "benchmark").select(F.explode(F.split("text", "[^A-Za-z]+")).alias("word")).where(F.length("word") > 3).distinct()
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return tag_keywords(documents, [row["word"] for row in words.collect()]).select("keyword", "doc_id")
+
+
+MANY_KEYWORDS = """
+SELECT keyword, doc_id
+FROM (SELECT DISTINCT keyword FROM (SELECT unnest(string_split_regex(text, '[^A-Za-z]+')) AS keyword FROM benchmark) WHERE length(keyword) > 3)
+JOIN documents ON contains(text, keyword)"""
+
 GAZETTEER = [
     ("Rest", "http://wiki.example/Rest"), ("That", None), ("Of The", "http://wiki.example/Of_The"), ("Eau", None), ("Nicht", "http://wiki.example/Nicht"),
     ("This", "http://wiki.example/This"), ("Para", None), ("Pour", None), ("Est", None),
@@ -145,22 +183,26 @@ FROM scored QUALIFY n / sum(n) OVER (PARTITION BY doc_id) > 0.001"""
 
 QUERIES = {
     "rss_items": rss_items,
+    "feed_files": feed_files,
     "pubdate_parse": pubdate_parse,
     "html_visible_text": html_visible_text,
     "tagged_text": tagged_text,
     "article_text": article_text,
     "text_ascii": text_ascii,
     "keyword_articles": keyword_articles,
+    "many_keywords": many_keywords,
     "entity_sentiment": entities,
 }
 
 ORACLES = {
     "rss_items": RSS_ITEMS,
+    "feed_files": FEED_FILES,
     "pubdate_parse": PUBDATE_PARSE,
     "html_visible_text": HTML_VISIBLE_TEXT,
     "tagged_text": TAGGED_TEXT,
     "article_text": ARTICLE_TEXT,
     "text_ascii": TEXT_ASCII,
     "keyword_articles": KEYWORD_ARTICLES,
+    "many_keywords": MANY_KEYWORDS,
     "entity_sentiment": ENTITY_SENTIMENT,
 }

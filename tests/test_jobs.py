@@ -243,6 +243,19 @@ def test_news_table_appends(spark):
     assert news.tag_landed(pages.withColumnRenamed("html", "text"), ["Ann Lee"]).count() == 1
 
 
+def test_feed_files_are_tagged_and_unread_items_reported(spark, tmp_path):
+    item = lambda n, title: f"<item><title>{title}</title><link>http://f/{n}</link><pubDate>Tue, 03 Jul 2018 07:00:00 GMT</pubDate></item>"
+    (tmp_path / "all.xml").write_text(
+        "<rss><channel>" + item(1, "Ann Lee wins") + item(2, "Other") + item(3, "a <b") + item(4, "Nobody") + "</channel></rss>")
+    pages = spark.createDataFrame([("http://f/1", "<p>good Bo</p>"), ("http://f/2", "<p>By Ann Lee</p>"), ("http://f/4", "<p>x</p>")], "url string, html string")
+    names = spark.createDataFrame([("Ann Lee", "http://w")], "name string, wikipedia_url string")
+    terms = spark.createDataFrame([("good", 0.5)], "term string, polarity double")
+    news.load_news_files(spark, str(tmp_path), pages, names, terms, ["Ann Lee", "Bo"], "News.Tagged", "News.Rejected")
+    assert rows(spark.table("News.Tagged").select("keyword", "url")) == [("Ann Lee", "http://f/1"), ("Ann Lee", "http://f/2"), ("Bo", "http://f/1")]
+    rejected = spark.table("News.Rejected").collect()
+    assert len(rejected) == 1 and "http://f/3" in rejected[0]["item"] and rejected[0]["file"].endswith("all.xml")
+
+
 def test_latest_page_counts(spark):
     items = spark.createDataFrame([("l1",), ("l2",), ("l3",)], "link string")
     pages = spark.createDataFrame(

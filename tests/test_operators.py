@@ -71,6 +71,15 @@ def test_conditional_counts(spark):
 def test_joined_values(spark):
     df = spark.createDataFrame([("a", "REP", 1), ("a", "CON", 2), ("a", "REP", 3), ("a", None, 4), ("b", None, 5)], "k string, p string, v int")
     assert rows(rollup.joined_values(df, ["k"], "p", "ps", total="v")) == [("a", "CON, REP, REP", 10), ("b", "", 5)]
+    assert rollup.joined_values(df.where("false"), ["k"], "p", "ps").count() == 0
+
+
+def test_joined_values_beyond_a_string_are_refused(spark):
+    counted = spark.createDataFrame([("a", "REP", 3, 1), ("a", None, 2, 2), ("b", "CON", 3_000_000_000, 5)], "k string, p string, n long, v int")
+    fits = rollup.joined_counts(counted.where("k = 'a'"), ["k"], "p", "n", "ps", "", total="v")
+    assert rows(fits) == [("a", "REPREPREP", 3)]
+    with pytest.raises(Exception, match="take 15000000000 bytes"):
+        rollup.joined_counts(counted, ["k"], "p", "n", "ps").collect()
 
 
 CODES = [
@@ -193,6 +202,18 @@ def test_keywords(spark):
     df = spark.createDataFrame([(1, "Ann met Bo"), (2, "nobody"), (3, None)], "id int, text string")
     got = entities.keyword_articles(df, ["Ann", "Bo", "bo"]).select("keyword", "id")
     assert rows(got, "id", "keyword") == [("Ann", 1), ("Bo", 1), ("bo", 2)]
+    assert entities.keyword_articles(df, []).count() == 0
+    assert rows(entities.keyword_articles(df, ["", "zz"]).select("keyword", "id")) == [("", 1), ("", 2)]
+
+
+def test_many_keywords_equal_a_search_for_each(spark):
+    rng = random.Random(5)
+    word = lambda least, most: "".join(rng.choice("ab. (é😀") for _ in range(rng.randint(least, most)))
+    keywords = [word(1, 6) for _ in range(2000)] + ["a", "ab", "aba", "\n", "\\"]
+    texts = [word(0, 60) for _ in range(200)] + ["", None, "x\ny\\", "ab" * 30_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {tuple(r) for r in entities.keyword_articles(df, keywords).select("keyword", "id").collect()}
+    assert got == {(k, i) for i, t in enumerate(texts) if t is not None for k in keywords if k in t}
 
 
 def test_donors_are_sent_only_where_their_length_can_match(spark):

@@ -101,6 +101,30 @@ def test_line_ends_inside_quotes(spark, tmp_path):
     assert [(r["a"], r["b"]) for r in got] == [("one\ntwo", "3")]
 
 
+def test_feed_files_are_cut_into_items(spark, tmp_path):
+    item = lambda n, more="": f"<item>\n <title>T{n} é &amp; {more}</title>\n<link>http://a/{n}</link><media:x a='1'/><pubDate>d</pubDate>\n"
+    many = "".join(item(n) + "</item>\n" for n in range(3000))
+    (tmp_path / "a.xml").write_text(f"<rss xmlns:media='m'><channel><title>items &lt;item></title>{many}</channel></rss>", encoding="utf-8")
+    odd = [item(9001) + "</item>", item(9002, "<b>") + "</item>", "<item/>", item(9003), item(9004) + "</item>", "<items>x</items>",
+           "<item a='1'><title><![CDATA[<b>]]></title></item>", "<item></item>", "<item><title>cut"]
+    (tmp_path / "b.xml").write_text("<rss><channel>" + "".join(odd), encoding="utf-8")
+    (tmp_path / "c.xml").write_text("")
+    read = lambda: feeds.read_feed_items(spark, str(tmp_path)).withColumn("file", F.substring_index("file", "/", -1))
+    got = read().where("file = 'a.xml'").collect()
+    assert sorted(r["link"] for r in got) == sorted(f"http://a/{n}" for n in range(3000)) and got[0]["title"].endswith("? &")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        split = read()
+        assert split.rdd.getNumPartitions() > 20 and sorted(split.collect(), key=str) == sorted(read().collect(), key=str)
+        assert sorted(map(str, split.where("file = 'a.xml'").collect())) == sorted(map(str, got))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    rest = read().where("file <> 'a.xml'").collect()
+    assert sorted((r["title"] or "", r["link"] or "") for r in rest if r["unread"] is None) == [("", ""), ("<b>", ""), ("T9001 ? &", "http://a/9001")]
+    unread = sorted(r["unread"] for r in rest if r["unread"])
+    assert len(unread) == 3 and "T9002" in unread[0] and "T9003" in unread[1] and "T9004" in unread[1] and "cut" in unread[2]
+
+
 def test_rss(spark):
     feed = "<rss><channel><item><title>A &amp; é</title><link>u</link><pubDate>d</pubDate></item><item><link>w</link></item></channel></rss>"
     df = spark.createDataFrame([("k", feed), ("none", "<rss><channel></channel></rss>")], "keyword string, feed string")
