@@ -4,8 +4,6 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from civicmill.operators.sizes import small_side
-
 
 def merge_records(sides, key):
     """One row per key with the attributes of all sides; of a shared attribute the last side
@@ -41,7 +39,7 @@ def attach_many(df, many, on, take):
         *[F.col(source).alias(target) for target, source in take.items()],
     )
     condition = reduce(lambda a, b: a & b, [df[left] == side[f"__{right}"] for left, right in on.items()])
-    return df.join(small_side(side), condition, "left").drop(*names)
+    return df.join(side, condition, "left").drop(*names)
 
 
 def nest_many(df, many, on, take, into):

@@ -10,6 +10,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # What a lookup may take on each executor: before the run by its files, during the run as measured.
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # checkpoint files go when nothing refers to them any more
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
