@@ -12,7 +12,7 @@ from civicmill.sources.lines import packed_cell, parse_fixed_width, parse_ranges
 
 COUNTY_LEVEL, SUBDIVISION_LEVEL, VTD_LEVEL = 50, 60, 710
 
-# Cells of the packed ranges that the formatted table shows.
+# Cells of the packed ranges that the formatted table shows (fixed values).
 ADULT_CELLS = {"TotalOver18": 0, "HispanicOver18": 1, "WhiteNonHispanicOver18": 4, "BlackNonHispanicOver18": 5}
 HOUSING_CELLS = {"TotalHousingUnits": 0, "OccupiedHousingUnits": 1, "VacantHousingUnits": 2}
 

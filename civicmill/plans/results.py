@@ -16,8 +16,8 @@ ALIASES = {
 
 EXCLUDED = ["county_matrix.csv"]
 
-# Folder year, then date, state and scope, as in 2000/20001107__ny__general.csv.
-FILE_NAME = r"^.*/\d{4}/(\d{8})__(\w{2})__(.*).csv"
+# Folder year, then date, state and scope, as in 2000/20001107__ny__general.csv (fixed values).
+FILE_NAME = r"^.*/\d{4}/(\d{8})__(\w{2})__(.*)\.csv"
 
 
 def filename_fields(filename):

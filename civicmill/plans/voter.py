@@ -16,7 +16,7 @@ from civicmill.sources.lines import parse_delimited, read_lines, rejected_lines
 # Counties that count by assembly district; the others count by ward (fixed values).
 ASSEMBLY_COUNTIES = [3, 24, 30, 31, 41, 43]
 
-# Columns kept under a new name.
+# Columns kept under a new name (fixed values).
 KEPT = {
     "GENDER": "Gender",
     "ENROLLMENT": "Enrollment",

@@ -1,8 +1,12 @@
 """Sinks of the warehouse and the example queries its users run."""
 
 import uuid
+from datetime import date
+
+from pyspark.sql import functions as F
 
 from civicmill.functions.casts import conform
+from civicmill.operators.rollup import joined_values, total_by
 
 
 def _prepared(spark, name):
@@ -85,7 +89,8 @@ def append_table(df, name, schema=None, path=None):
     return df.sparkSession.table(name)
 
 
-# The documented user queries in Spark SQL; values are named parameters.
+# The documented user queries in Spark SQL (fixed values: tables, columns and conditions); what a user
+# asks for is a named parameter.
 EXAMPLES = {
     "first_voters": """
         SELECT FullName, Gender, DateOfBirth FROM {Formatted} LIMIT 10""",
@@ -104,43 +109,24 @@ EXAMPLES = {
         WHERE AD = :district AND STATUS = 'ACTIVE'
         GROUP BY 1""",
     "turnout_of_election_type": """
-        SELECT r.ENROLLMENT, ec.Date, ec.Type, COUNT(*) AS Num
-        FROM (SELECT ENROLLMENT, TOWNCITY, ED, explode(split(VoterHistory, ';')) AS v FROM {Raw}) r
-        JOIN {ElectionCodes} ec ON r.v = ec.Election
-        WHERE r.TOWNCITY = :town AND r.ED = :district
-          AND ec.Date > DATE'2016-01-01' AND ec.Type = :type
-        GROUP BY 1, 2, 3
-        ORDER BY 1, 2, 3""",
+        WITH cast_by AS (
+            SELECT ENROLLMENT, explode(split(VoterHistory, ';')) AS code
+            FROM {Raw}
+            WHERE TOWNCITY = :town AND ED = :district),
+        ballots AS (SELECT ENROLLMENT, code, COUNT(*) AS n FROM cast_by GROUP BY ENROLLMENT, code),
+        elections AS (SELECT Election AS code, Date, Type FROM {ElectionCodes} WHERE Type = :type AND Date > :since)
+        SELECT ENROLLMENT, Date, Type, SUM(n) AS Num
+        FROM ballots JOIN elections USING (code)
+        GROUP BY ALL
+        ORDER BY ENROLLMENT, Date, Type""",
     "census_of_district": """
         SELECT CountyName, CousubName, TotalOver18, HispanicOver18, WhiteNonHispanicOver18,
                BlackNonHispanicOver18, TotalHousingUnits, OccupiedHousingUnits,
                VacantHousingUnits, e.AD, e.ED
         FROM {VTDFormatted} LATERAL VIEW inline(ElectionDistricts) e AS WARD, AD, ED
         WHERE e.AD = :district""",
-    # The parties are counted per candidate first, so that a candidate's rows never meet in
-    # one task; the string repeats each party as often as it occurs.
-    "results_of_county": """
-        SELECT office, district, candidate,
-               array_join(flatten(transform(
-                   array_sort(collect_list(named_struct('party', party, 'n', n)) FILTER (WHERE party IS NOT NULL)),
-                   p -> array_repeat(p.party, CAST(p.n AS INT)))), ', ') AS Parties,
-               SUM(votes) AS Votes
-        FROM (SELECT office, district, candidate, party, COUNT(*) AS n, SUM(votes) AS votes
-              FROM {Curated}
-              WHERE county = :county AND election_date = :day
-                AND candidate NOT IN ('Blank', 'Scattering', 'Void', 'Total')
-                AND district IN (1, 2, 3)
-              GROUP BY 1, 2, 3, 4)
-        GROUP BY 1, 2, 3
-        ORDER BY 1, 2, 3""",
     "voters_of_district": """
         SELECT * FROM {Raw} WHERE SD = :district AND STATUS = 'ACTIVE'""",
-    "donor_totals": """
-        SELECT FilingYear, ContributorName, ContributorAddr1, ContributorAddr2,
-               FilerID, FilerName, FilerCommittee, Office, SUM(Amt) AS TotalDonation
-        FROM {State}
-        GROUP BY ALL
-        ORDER BY 1, 2, 3, 4, 5, 6, 7, 8""",
     "funds_raised": """
         SELECT FilingYear, FilerID, FilerName, concat('$', format_number(SUM(Amt), 0)) AS Raised
         FROM {State}
@@ -150,6 +136,31 @@ EXAMPLES = {
 }
 
 
+# What the documentation asks for where the caller names nothing else (fixed values).
+USUAL = {"turnout_of_election_type": {"since": date(2016, 1, 1)}}
+NO_CANDIDATES = ["Blank", "Scattering", "Void", "Total"]
+DONATION = ["FilingYear", "ContributorName", "ContributorAddr1", "ContributorAddr2", "FilerID", "FilerName", "FilerCommittee", "Office"]
+
+
+def results_of_county(curated, county, day, districts=(1, 2, 3), left_out=NO_CANDIDATES):
+    """Votes and party lines of the candidates of a county on a day."""
+    wanted = (F.col("county") == county) & (F.col("election_date") == day) & F.col("district").isin(*districts)
+    rows = curated.where(wanted & ~F.col("candidate").isin(*left_out))
+    keys = ["office", "district", "candidate"]
+    return joined_values(rows, keys, "party", "Parties", Votes="votes").orderBy(*keys)
+
+
+def donor_totals(contributions):
+    """What each donor gave to each filer in a year, as total."""
+    return total_by(contributions, DONATION, "Amt", "TotalDonation")
+
+
+# Examples that are operators of the library, with the table each runs on.
+OPERATORS = {
+    "results_of_county": ("Curated", results_of_county),
+    "donor_totals": ("State", lambda state: donor_totals(state).orderBy(*DONATION)),
+}
+
 # Where the names in braces are found.
 TABLES = {
     "Formatted": "Voter.Formatted",
@@ -164,5 +175,9 @@ TABLES = {
 def run_example(spark, example, tables=None, /, **params):
     """Run an example on the warehouse, or on DataFrames given under the table names."""
     tables = tables or {}
-    used = {t: tables[t] if t in tables else spark.table(full) for t, full in TABLES.items() if "{%s}" % t in EXAMPLES[example]}
-    return spark.sql(EXAMPLES[example], args=params or None, **used)
+    found = lambda name: tables[name] if name in tables else spark.table(TABLES[name])
+    if example in OPERATORS:
+        name, operator = OPERATORS[example]
+        return operator(found(name), **params)
+    text, values = EXAMPLES[example], {**USUAL.get(example, {}), **params}
+    return spark.sql(text, args=values or None, **{name: found(name) for name in TABLES if "{%s}" % name in text})
