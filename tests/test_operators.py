@@ -20,9 +20,19 @@ def test_size_check(spark):
     assert not sizes.is_small(df, rows=9) and not sizes.is_small(df, size=20)
 
 
-@pytest.mark.parametrize("bound", [sizes.BROADCAST_ROWS, 1])
-def test_left_lookup_keeps_rows_and_takes_one_value(spark, monkeypatch, bound):
-    monkeypatch.setattr(lookup, "is_small", lambda df: sizes.is_small(df, rows=bound))
+@pytest.fixture(params=["32m", "-1"])
+def join_bound(spark, request):
+    """Lookups broadcast when small, or always shuffled."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, request.param)
+    yield request.param
+    for name in names:
+        spark.conf.set(name, before[name])
+
+
+def test_left_lookup_keeps_rows_and_takes_one_value(spark, join_bound):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (9, "e")], "k int, v string")
     codes = spark.createDataFrame([(1, "x"), (1, "y"), (2, None), (None, "n")], "Code int, Name string")
     got = lookup.left_lookup(df, codes, {"k": "Code"}, {"name": "Name"})
@@ -31,7 +41,7 @@ def test_left_lookup_keeps_rows_and_takes_one_value(spark, monkeypatch, bound):
     assert joined.columns == ["k", "v", "name", "v", "name"]
 
 
-def test_overriding_and_expanding(spark):
+def test_overriding_and_expanding(spark, join_bound):
     filers = spark.createDataFrame([("A", None, 5), ("B", "bee", 6)], "id string, name string, dist int")
     given = spark.createDataFrame([("A", "typed", 1), ("C", "typed", 2)], "id string, name string, amt int")
     assert rows(lookup.attach_overriding(given, filers, "id").select("id", "name", "dist", "amt")) == [("A", None, 5, 1)]

@@ -90,6 +90,32 @@ def test_committees_read_filers_once(spark, tmp_path):
         [("A", "x"), ("B", "y"), (None, "z"), ("A1", "c1"), ("A2", None)], "id string, name string").collect()))
 
 
+def test_no_job_runs_while_lookups_are_planned(spark, tmp_path):
+    from civicmill.operators.lookup import attach_overriding
+    from civicmill.plans import finance
+
+    words = lambda *names: spark.createDataFrame([tuple(names)], ", ".join(f"{n} string" for n in names))
+    for name, df in {
+        "filers": words("FilerID", "FilerName", "Dist"), "pages": words("FilerID", "html"),
+        "rows": words("FilerID", "ContributorAddr1", "ContributorAddr2"),
+        "reference": words("address", "city", "state", "std_address", "std_city", "std_state", "std_zip5"),
+    }.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    filers, pages, given, reference = [spark.read.parquet(f"{tmp_path}/{n}") for n in ("filers", "pages", "rows", "reference")]
+    spark.sparkContext.setJobGroup("planned", "lookups")
+    try:
+        built = [
+            finance.with_status(filers, pages), finance.with_committees(filers, finance.committees_of(pages)),
+            attach_overriding(given, filers, "FilerID"), finance.standardize_addresses(given, reference),
+        ]
+        texts = [plan(df) for df in built]
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planned")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert all("BroadcastHashJoin" in text and "SortMergeJoin" not in text for text in texts)
+    assert [df.count() for df in built] == [1, 1, 1, 1]
+
+
 def test_merge_shuffles_each_side_once(spark):
     a = spark.read.parquet(f"{SF}/orders.parquet").select(F.col("o_orderkey").alias("k"), "o_custkey")
     b = spark.read.parquet(f"{SF}/customer.parquet").select(F.col("c_custkey").alias("k"), "c_name")
