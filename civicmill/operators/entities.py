@@ -12,6 +12,8 @@ from civicmill.operators.lookup import single_valued
 from civicmill.operators.sizes import is_small, small_side
 
 MIN_SALIENCE = 0.001
+# Up to here looking for each keyword in the JVM is as fast as one automaton in Python.
+FEW_KEYWORDS = 50
 SENTENCE_END = r"[.!?\n]+"
 BETWEEN_WORDS = r"[^\p{L}\p{N}']+"
 SENTENCES = re.compile(SENTENCE_END)
@@ -134,23 +136,34 @@ def score_entities_by_join(articles, gazetteer, lexicon, key, text="text", longe
     return flat.where(F.col("salience") > min_salience)
 
 
-def keyword_articles(articles, keywords, text="text"):
+def keyword_articles(articles, keywords, text="text", few=FEW_KEYWORDS):
     """One row per keyword and article whose text contains it; a keyword listed twice counts once.
 
-    The keywords are a configured list.  They become one automaton, which is sent to the tasks once, so
-    a text is scanned once however many there are, and nothing is joined.  An empty keyword is in every
-    text; an article whose text is null has no rows.
+    The keywords are a configured list.  Up to ``few`` are looked for one by one inside the row.  More
+    become one automaton, which is sent to the tasks once, so a text is scanned once however many there are.
+    Nothing is joined.  An empty keyword is in every text; an article whose text is null has no rows.
     """
+    listed = sorted(set(keywords))
+    if len(listed) <= few:
+        literals = F.array(*[F.lit(k) for k in listed]).cast("array<string>")
+        tagged = F.filter(literals, lambda k: F.contains(F.col(text), k))
+    else:
+        tagged = _words_within(articles.sparkSession, listed)(F.col(text))
+    return articles.select(F.explode(tagged).alias("keyword"), *articles.columns)
+
+
+def _words_within(spark, words):
+    """Function from a text to the sorted words it contains."""
     automaton = ahocorasick.Automaton()
-    for keyword in filter(None, keywords):
-        automaton.add_word(keyword, keyword)
+    for word in filter(None, words):
+        automaton.add_word(word, word)
     automaton.make_automaton()
-    everywhere = {""} & set(keywords)
-    shared = articles.sparkSession.sparkContext.broadcast(automaton)
+    everywhere = {""} & set(words)
+    shared = spark.sparkContext.broadcast(automaton)
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def within(texts: pd.Series) -> pd.Series:
         found = lambda t: (shared.value.iter(t) if len(shared.value) else ())
         return texts.map(lambda t: sorted(everywhere | {k for _, k in found(t)}), na_action="ignore")
 
-    return articles.select(F.explode(within(F.col(text))).alias("keyword"), *articles.columns)
+    return within
