@@ -208,12 +208,13 @@ def test_large_vocabularies_are_refused_by_the_broadcast_form(spark, monkeypatch
         entities.entity_sentiment(empty, empty, empty)
 
 
-def test_keywords(spark):
+@pytest.mark.parametrize("few", [-1, 50])
+def test_keywords(spark, few):
     df = spark.createDataFrame([(1, "Ann met Bo"), (2, "nobody"), (3, None)], "id int, text string")
-    got = entities.keyword_articles(df, ["Ann", "Bo", "bo"]).select("keyword", "id")
+    got = entities.keyword_articles(df, ["Ann", "Bo", "bo", "Bo"], few=few).select("keyword", "id")
     assert rows(got, "id", "keyword") == [("Ann", 1), ("Bo", 1), ("bo", 2)]
-    assert entities.keyword_articles(df, []).count() == 0
-    assert rows(entities.keyword_articles(df, ["", "zz"]).select("keyword", "id")) == [("", 1), ("", 2)]
+    assert entities.keyword_articles(df, [], few=few).count() == 0
+    assert rows(entities.keyword_articles(df, ["", "zz"], few=few).select("keyword", "id")) == [("", 1), ("", 2)]
 
 
 def test_many_keywords_equal_a_search_for_each(spark):
