@@ -9,6 +9,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 # A word is a run of anything but a blank and these; ``WORD`` is the same as a pattern.
 OTHER_BLANKS = "\t\n\x0b\x0c\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
+SPREAD = 32                 # tasks that thin the rows of one key
 
 
 def table(spark, sf_dir, name):
@@ -45,14 +46,18 @@ def bind(expr, body):
 
 
 def first_of_each(df, key, per_key, *order):
-    """At most ``per_key`` rows of each key, the first in hash order.
+    """At most ``per_key`` rows of each key, the first in ``order``.
 
     The row number is tested right above its window, so Spark keeps no more than that many rows
-    of a key in any task before the shuffle.
+    of a key in any task before the shuffle.  What the tasks keep is thinned by ``SPREAD`` tasks for
+    each key first, so the last task of a key reads at most ``SPREAD * per_key`` rows however many tasks there are.
     """
-    window = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("place_in_key", F.row_number().over(window)).where(
-        F.col("place_in_key") <= per_key).drop("place_in_key")
+    rows = df.withColumn("spread", F.spark_partition_id() % SPREAD)
+    for keys in ([key, "spread"], [key]):
+        window = Window.partitionBy(*keys).orderBy(*order)
+        rows = rows.withColumn("place_in_key", F.row_number().over(window)).where(
+            F.col("place_in_key") <= per_key).drop("place_in_key")
+    return rows.drop("spread")
 
 
 def learnable(docs, labels, label):

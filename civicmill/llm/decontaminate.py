@@ -109,7 +109,7 @@ def scan_documents(docs, benchmark, extra=(), block_bytes=BLOCK_BYTES):
     ids, as strings, of the items they belong to.  Several blocks are scanned one after the other
     over the same rows, without a shuffle.  A null text has no words.  Items of null or wordless
     text have no windows; a null item id marks its words but is not listed.  Repeated items and
-    repeated rows count as they stand.
+    repeated rows count as they stand, an empty table gives no rows, and other columns are not read.
     """
     rows = pick(docs, "doc_id", "text", *extra)
     spark = docs.sparkSession

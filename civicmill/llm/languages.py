@@ -15,6 +15,7 @@ from civicmill.llm.common import first_of_each, held_out, map_batches, pick
 
 BUCKETS = 4096
 SAMPLE_ROWS = 2400          # training documents of all languages together
+MOST_LANGS = 64             # languages that are learned
 UNDETERMINED = "und"
 CHARS_AT_ONCE = 1 << 20
 # ISO 639 codes by family.  A code that is not listed is a family of its own.
@@ -141,16 +142,18 @@ def predict(text, model):
 
 # jobs
 
-def fit(docs, sample_rows=SAMPLE_ROWS):
+def fit(docs, sample_rows=SAMPLE_ROWS, most_langs=MOST_LANGS):
     """Train on a bounded sample of documents whose language may be learned.
 
-    ``sample_rows`` is shared by the languages.  The vectors are made where the texts are; the
+    ``sample_rows`` is shared by the languages, the ``most_langs`` with the most such documents (of equal ones the first
+    by name); codes beyond them are not learned.  The vectors are made where the texts are; the
     driver gets hashed counts, of fixed size per document.
     """
     known = pick(docs, "doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    langs = sorted(r["lang"] for r in known.select("lang").distinct().collect())
+    langs = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect()]
     per_lang = max(2, sample_rows // max(1, len(langs)))
+    known = known.where(F.col("lang").isin(langs))
     ids = first_of_each(known.select("lang", F.xxhash64("doc_id", "text").alias("h")), "lang", per_lang, "h")
     chosen = known.withColumn("h", F.xxhash64("doc_id", "text")).join(F.broadcast(ids.distinct()), ["lang", "h"])
     chosen = chosen.dropDuplicates(["lang", "h"])
@@ -176,7 +179,8 @@ def identify(docs, model):
     """(doc_id, lang_pred, score), one row per row of ``docs``; only the text decides.
 
     Null texts and texts without a letter are ``und`` with score 0, and so is everything if the
-    model has learned no language.
+    model has learned no language.  Repeated rows and equal texts get equal results, null ids are kept, an empty
+    table gives no rows, and columns other than doc_id and text are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

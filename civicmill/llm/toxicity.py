@@ -3,8 +3,9 @@
 Every word has two inputs: what its whole form says and what its characters say.  Both are a log
 odds learned from labelled documents plus a trained embedding, of the word and of its character
 4- to 7-grams.  The network reads windows of words in both directions, attention weighs the
-states, and a logistic unit scores the window.  All windows of a text are scored, each overlapping
-the next by half; the largest score, calibrated by the number of windows, is the text's.
+states, and a logistic unit scores the window.  A window begins at every fourth word, in training as
+in scoring, so a passage of up to 21 words lies in one window as a whole; the largest score of a
+text, calibrated by the number of windows, is the text's.
 
 Labels are of documents, so training looks at the window that seems most toxic in each document,
 by the log odds at first and by the network itself later, and at other windows of clean documents.
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 
 from civicmill.llm.common import held_out, labelled_sample, map_batches, pick
 
-WINDOW, STRIDE = 24, 12
+WINDOW, STRIDE = 24, 4
 HIDDEN, EMBED, BUCKETS = 8, 6, 1 << 18
 SMALL = 4096                # rows of each embedding table
 PER_LABEL = 1500            # training documents of each label at most
@@ -25,9 +26,11 @@ MAX_CHARS = 40_000          # longer documents are scored, but not learned from
 THRESHOLD = 0.3
 GRAMS = range(4, 8)
 WORDS_KEPT = 200_000        # words whose inputs a worker remembers
-AT_ONCE = 2048              # windows per matrix product
+AT_ONCE = 512               # windows per matrix product
+SCORED_AT_ONCE = 8192       # windows held as rows of words
 STATIC = 4
 FOLDS = 4
+RANDOM_CLEAN = 2            # random windows of each clean document, in each round
 MOST_EPOCHS = 8             # over the sample, in each round
 DECAY = 0.97                # of the embeddings, each step
 INPUTS = STATIC + 2 * EMBED
@@ -168,18 +171,46 @@ def pooled(states, mask, model):
     return weight, np.einsum("tb,tbh->bh", weight, states), hidden
 
 
+def both_ways(model):
+    """One recurrent matrix for both directions; its rows are update, reset and candidate, each forwards then backwards."""
+    u = np.zeros((3, 2, HIDDEN, 2, HIDDEN), np.float32)
+    for way, name in ((0, "uf"), (1, "ub")):
+        u[:, way, :, way] = model[name].T.reshape(3, HIDDEN, HIDDEN)
+    return u.reshape(6 * HIDDEN, 2 * HIDDEN)
+
+
 def window_logits(table, ids, model):
-    """Logits of windows; ``ids`` is [B, T] rows of ``table`` (inputs times wx), -1 where there is no word."""
+    """Logits of windows; ``ids`` is [B, T] rows of ``table`` (inputs times wx), -1 where there is no word.
+
+    What ``one_way`` and ``pooled`` compute, with the windows in the last axis, so that each step works on long rows.
+    """
     logits = np.empty(len(ids), np.float32)
+    u, att = both_ways(model), np.ascontiguousarray(model["att"].T)
     for at in range(0, len(ids), AT_ONCE):
         part = ids[at:at + AT_ONCE].T
-        mask = (part >= 0).astype(np.float32)
-        projected = table[part]
-        states = np.concatenate([
-            one_way(projected[:, :, :3 * HIDDEN], mask, model["uf"], False),
-            one_way(projected[:, :, 3 * HIDDEN:], mask, model["ub"], True)], axis=2)
-        _, pool, _ = pooled(states, mask, model)
-        logits[at:at + AT_ONCE] = pool @ model["out"] + model["bias"][0]
+        steps, batch = part.shape
+        seen = part >= 0
+        whole = bool(seen.all())
+        # [T, direction, update/reset/candidate, H, B]
+        projected = np.ascontiguousarray(table[part].transpose(0, 2, 1)).reshape(steps, 2, 3, HIDDEN, batch)
+        states = np.empty((steps, 2 * HIDDEN, batch), np.float32)
+        h = np.zeros((2 * HIDDEN, batch), np.float32)
+        given = np.empty((3, 2, HIDDEN, batch), np.float32)
+        for t in range(steps):
+            back = steps - 1 - t
+            given[:, 0], given[:, 1] = projected[t, 0], projected[back, 1]
+            update, reset, candidate = given.reshape(3, 2 * HIDDEN, batch)
+            recurrent = (u @ h).reshape(3, 2 * HIDDEN, batch)
+            move = 1 - sigmoid(update + recurrent[0])
+            if not whole:
+                move[:HIDDEN] *= seen[t]
+                move[HIDDEN:] *= seen[back]
+            h = h + move * (np.tanh(candidate + sigmoid(reset + recurrent[1]) * recurrent[2]) - h)
+            states[t, :HIDDEN], states[back, HIDDEN:] = h[:HIDDEN], h[HIDDEN:]
+        weight = np.where(seen, model["query"] @ np.tanh(att @ states), -30.0)
+        weight = np.exp(weight - weight.max(0))
+        weight /= weight.sum(0)
+        logits[at:at + AT_ONCE] = (weight * (model["out"] @ states)).sum(0) + model["bias"][0]
     return logits
 
 
@@ -226,15 +257,19 @@ def gradients(inputs, mask, y, model):
 
 def windows(n):
     """First words of the windows of a text of ``n`` words: each overlaps the next, the last ends with it."""
-    if n <= WINDOW:
-        return [0]
-    return [*range(0, n - WINDOW, STRIDE), n - WINDOW]
+    return np.r_[np.arange(0, n - WINDOW, STRIDE), max(0, n - WINDOW)]
+
+
+def window_rows(rows, firsts):
+    """[windows, WINDOW]: the rows of the words of each window, -1 where there is no word."""
+    at = firsts[:, None] + np.arange(WINDOW)
+    return np.where(at < len(rows), rows[np.minimum(at, len(rows) - 1)], -1) if len(rows) else np.full(at.shape, -1)
 
 
 # training
 
-def train(texts, labels, rounds=3, steps=150, seed=11):
-    """The model, from whole texts and 0/1 labels; None if a label is missing.
+def train(texts, labels, rounds=3, steps=250, seed=11):
+    """The model, from whole texts and 0/1 labels; None if a label is missing or no text has a word.
 
     Each round takes about ``steps`` batches, fewer for a small sample.
     """
@@ -246,6 +281,8 @@ def train(texts, labels, rounds=3, steps=150, seed=11):
     for text in texts:
         docs.append(np.array([vocabulary.setdefault(normal(c), len(vocabulary)) for c in text.split()], np.int64))
     words = list(vocabulary)
+    if not words:
+        return None
     hashes, starts = gram_hashes(words)
     ends = np.r_[starts[1:], len(hashes)]
     held = [np.unique(np.concatenate([hashes[starts[w]:ends[w]] for w in np.unique(d)])) if len(d) else np.zeros(0, np.int64)
@@ -260,11 +297,8 @@ def train(texts, labels, rounds=3, steps=150, seed=11):
         inputs = np.hstack([static[f], embeddings(hashes, starts, count, model)])
         return (inputs @ model["wx"] + model["b"]).astype(np.float32)
 
-    firsts = [np.array(windows(len(d))) for d in docs]
-    ids = []
-    for d, f in zip(docs, firsts):
-        at = f[:, None] + np.arange(WINDOW)
-        ids.append(np.where(at < len(d), d[np.minimum(at, len(d) - 1)], -1) if len(d) else np.full((1, WINDOW), -1))
+    firsts = [windows(len(d)) for d in docs]
+    ids = [window_rows(d, f) for d, f in zip(docs, firsts)]
     worst = [int(np.where(w >= 0, static[fold[i]][w][:, :, :2].sum(2), 0).max(1).argmax()) for i, w in enumerate(ids)]
     state = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in model.items()}
     step = 0
@@ -280,8 +314,8 @@ def train(texts, labels, rounds=3, steps=150, seed=11):
                 for i in mine:
                     worst[i] = int(scored[at:at + len(ids[i])].argmax())
                     at += len(ids[i])
-        # the worst window of every document, and a random one of every clean document
-        chosen = [(i, worst[i]) for i in everything] + [(int(i), int(rng.integers(len(ids[i])))) for i in clean]
+        # the worst window of every document, and random ones of every clean document
+        chosen = [(i, worst[i]) for i in everything] + [(int(i), int(rng.integers(len(ids[i])))) for i in np.repeat(clean, RANDOM_CLEAN)]
         size = min(128, max(8, len(chosen) // 20))
         for _ in range(min(MOST_EPOCHS, -(-steps * size // len(chosen)))):
             order = rng.permutation(len(chosen))
@@ -348,43 +382,43 @@ class Scorer:
 
     def __init__(self, model, most=WORDS_KEPT):
         self.model, self.most = model, most
-        self.known, self.table = {}, np.zeros((0, 6 * HIDDEN), np.float32)
+        self.known, self.table = {}, np.empty((most, 6 * HIDDEN), np.float32)
 
     def rows(self, docs):
-        """(table, rows of it for the chunks of each document); chunks beyond the limit are made anew."""
-        known = self.known
-        names = list(dict.fromkeys(c for chunks in docs for c in chunks if c not in known))
-        at = len(self.table)
-        made = [self.table]
+        """(table of the distinct chunks of ``docs``, rows of it for each document)."""
+        known, places = self.known, {}
+        for chunks in docs:
+            places.update(dict.fromkeys(chunks))
+        places = dict(zip(places, range(len(places))))
+        table = np.zeros((max(1, len(places)), 6 * HIDDEN), np.float32)     # a row to point at, if there is no word
+        found = np.fromiter((known.get(c, -1) for c in places), np.int64, len(places))
+        fresh, old = np.flatnonzero(found < 0), np.flatnonzero(found >= 0)
+        table[old] = self.table[found[old]]
+        names = [c for c in places if c not in known]
         for i in range(0, len(names), 20_000):
             inputs = word_inputs([normal(c) for c in names[i:i + 20_000]], self.model["odds"], self.model)
-            made.append((inputs @ self.model["wx"] + self.model["b"]).astype(np.float32))
-        table = np.concatenate(made) if names else self.table
-        places = dict(zip(names, range(at, at + len(names))))
-        if at + len(names) <= self.most:
-            self.table = table
-            known.update(places)
-            rows = [np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks)) for chunks in docs]
-        else:
-            rows = [np.fromiter((known[c] if c in known else places[c] for c in chunks), np.int64, len(chunks)) for chunks in docs]
-        return table, rows
+            table[fresh[i:i + 20_000]] = inputs @ self.model["wx"] + self.model["b"]
+        at, room = len(known), self.most - len(known)
+        self.table[at:at + len(fresh[:room])] = table[fresh[:room]]
+        known.update(zip(names[:room], range(at, self.most)))
+        return table, [np.fromiter(map(places.__getitem__, chunks), np.int32, len(chunks)) for chunks in docs]
 
     def score(self, texts):
         """A probability for each text."""
         best = np.full(len(texts), -np.inf)
         counts = np.zeros(len(texts))
-        docs = [(t or "").split() for t in texts]
-        ids, owners = [], []
-        table, rows = self.rows(docs)
+        table, rows = self.rows([(t or "").split() for t in texts])
+        waiting, ids, owners = 0, [], []
         for i, d in enumerate(rows):
-            firsts = np.array(windows(len(d)))
+            firsts = windows(len(d))
             counts[i] = np.log(len(firsts))
-            at = firsts[:, None] + np.arange(WINDOW)
-            ids.append(np.where(at < len(d), d[np.minimum(at, len(d) - 1)], -1) if len(d) else np.full((1, WINDOW), -1))
-            owners.append(np.full(len(firsts), i))
-            if sum(map(len, ids)) >= 4 * AT_ONCE:
-                self._keep(best, table, ids, owners)
-                ids, owners = [], []
+            for at in range(0, len(firsts), SCORED_AT_ONCE):
+                ids.append(window_rows(d, firsts[at:at + SCORED_AT_ONCE]))
+                owners.append(np.full(len(ids[-1]), i))
+                waiting += len(ids[-1])
+                if waiting >= SCORED_AT_ONCE:
+                    self._keep(best, table, ids, owners)
+                    waiting, ids, owners = 0, [], []
         if ids:
             self._keep(best, table, ids, owners)
         a, b, c = self.model["calibration"]
@@ -407,12 +441,16 @@ def score_toxicity(docs, model):
     """(doc_id, score), one row per row of ``docs`` (doc_id, text); only the text decides.
 
     Null, empty and blank texts are one window without words.  Without a model (a label was
-    missing) every score is 0.  Equal texts get equal scores.
+    missing, or no text to learn from had a word) every score is 0.  Repeated rows and equal texts get equal scores, null ids are kept, an empty
+    table gives no rows, and columns other than doc_id and text are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def start():
-        scorer = Scorer(shared.value) if shared.value else None
+        held = shared.value
+        if held and "scorer" not in held:       # a worker keeps it, with the words it remembers, over its tasks
+            held["scorer"] = Scorer(held)
+        scorer = held["scorer"] if held else None
 
         def compute(batch):
             texts, scores = batch.column("text").to_pylist(), []

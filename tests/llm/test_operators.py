@@ -25,7 +25,9 @@ def table(spark, name):
 
 
 ODD = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "other text"), (2, None), (None, "no id here"), (None, None), (3, ""), (4, " \n\t"),
-       (5, "Ünïcödé ☃ " * 30), (6, "word " * 5000)]
+       (5, "Ünïcödé ☃ " * 30), (6, "word " * 5000), (7, " ".join(f"w{i % 7919}" for i in range(150_000))), (8, "x" * 300_000)]
+# names that operators use for columns of their own
+INNER = ["words", "cell", "fp", "doc_key", "row_key", "spread", "place_in_key", "value", "h", "root", "line", "place", "size", "host"]
 
 
 def everything(docs):
@@ -45,7 +47,8 @@ def everything(docs):
 
 def test_odd_rows_and_empty_tables(spark):
     docs = documents(spark, ODD)
-    wider = docs.withColumn("TEXT", F.lit(7)) if spark.conf.get("spark.sql.caseSensitive") == "true" else docs
+    wider = docs.select("*", F.lit(7).alias("TEXT"), F.lit("z").alias("Doc_Id"), *[F.lit(0).alias(name) for name in INNER])
+    assert len(wider.columns) == len(docs.columns) + 2 + len(INNER)
     for result in everything(wider):
         rows = result.collect()
         assert Counter(r["doc_id"] for r in rows if "piece" not in r or r["piece"] == 0) == Counter(i for i, _ in ODD), result.columns
@@ -172,7 +175,65 @@ def test_toxicity(spark):
     got = toxicity.toxicity_digest(docs, labels).join(labels, "doc_id").join(docs, "doc_id").where("held_out and lang = 'en'").collect()
     toxic = [r["predicted"] for r in got if r["toxic"]]
     assert len(toxic) >= 8 and np.mean(toxic) > 0.7 and np.mean([r["predicted"] for r in got if not r["toxic"]]) < 0.06
-    assert toxicity.windows(60) == [0, 12, 24, 36]
+
+
+def test_toxicity_windows(spark):
+    assert toxicity.windows(0).tolist() == toxicity.windows(24).tolist() == [0]
+    assert toxicity.windows(38).tolist() == [0, 4, 8, 12, 14]
+    for n in range(22, 120):        # every passage of up to 21 words is whole in a window
+        firsts = toxicity.windows(n)
+        assert all(any(f <= a and a + 21 <= f + toxicity.WINDOW for f in firsts) for a in range(n - 20))
+
+
+def test_toxicity_scores_are_those_of_the_plain_network(spark):
+    rng = np.random.default_rng(3)
+    model = toxicity.empty_model()
+    model["odds"] = rng.normal(size=toxicity.BUCKETS).astype(np.float32)
+    model["calibration"] = np.array([1.0, 0.2, -0.5])
+    words = ["".join(rng.choice(list("abcdefg"), 4)) for _ in range(300)]
+    texts = [" ".join(rng.choice(words, n)) for n in (1, 5, 23, 24, 25, 30, 31, 400, 3000)] + ["", None, " \n"]
+
+    def plain(text):
+        chunks = (text or "").split()
+        logits = []
+        for f in toxicity.windows(len(chunks)):
+            part = [toxicity.normal(c) for c in chunks[f:f + toxicity.WINDOW]]
+            mask = np.zeros((toxicity.WINDOW, 1), np.float32)
+            mask[:len(part)] = 1
+            x = np.zeros((toxicity.WINDOW, 1, toxicity.INPUTS), np.float32)
+            x[:len(part), 0] = toxicity.word_inputs(part, model["odds"], model)
+            p, h = x @ model["wx"] + model["b"], toxicity.HIDDEN * 3
+            states = np.concatenate([toxicity.one_way(p[:, :, :h], mask, model["uf"], False),
+                                     toxicity.one_way(p[:, :, h:], mask, model["ub"], True)], axis=2)
+            pool = toxicity.pooled(states, mask, model)[1]
+            logits.append(float((pool @ model["out"])[0] + model["bias"][0]))
+        a, b, c = model["calibration"]
+        return 1 / (1 + np.exp(-(a * max(logits) + b * np.log(len(logits)) + c)))
+
+    expected = [plain(t) for t in texts]
+    for most in (100_000, 50, 0):       # words that are remembered
+        scorer = toxicity.Scorer(model, most)
+        assert np.allclose(scorer.score(texts), expected, atol=1e-4)
+        assert np.allclose([scorer.score([t])[0] for t in texts], expected, atol=1e-4)
+        assert len(scorer.known) <= most
+    assert toxicity.train(["", " "], [0, 1]) is None
+
+
+def test_first_of_each_over_many_tasks(spark):
+    rows = spark.range(0, 20_000, 1, 80).withColumn("label", (F.col("id") % 10 > 2).cast("int")).withColumn("h", F.xxhash64("id"))
+    got = common.first_of_each(rows, "label", 70, "h")
+    assert got.columns == rows.columns
+    kept = rows.collect()
+    for label in (0, 1):
+        expected = sorted(r["h"] for r in kept if r["label"] == label)[:70]
+        assert sorted(r["h"] for r in got.collect() if r["label"] == label) == expected
+
+
+def test_only_the_most_frequent_languages_are_learned(spark):
+    docs = spark.createDataFrame([(i, f"{w} wort text {i}", lang) for i, (w, lang) in enumerate(
+        [("the", "en")] * 30 + [("der", "de")] * 20 + [("odd", f"x{k}") for k in range(9)])], "doc_id long, text string, lang string")
+    model = languages.fit(docs, most_langs=2)
+    assert sorted(lang for m in model["members"].values() for lang in m) == ["de", "en"]
 
 
 def repeat_words(words):
