@@ -3,9 +3,12 @@
 import random
 from datetime import date
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from civicmill.functions import similarity
 from civicmill.operators import entities, history, lookup, match, merge, rollup, sizes
 from tests.test_functions import slow_lcs
 
@@ -265,3 +268,35 @@ def test_donors_are_sent_only_where_their_length_can_match(spark):
     assert per_tile and all(r["some"] for r in per_tile)
     assert sides["donor"].where(F.length("donor") == 900).count() == 0
 
+
+def test_a_tile_without_matches_is_ruled_out_by_products(monkeypatch):
+    """Strings like those of one block: alike in their names, with other addresses; few pairs come to be scored one by one."""
+    rng = random.Random(4)
+    address = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(64))
+    donors = [f"old ring , {address()}" for _ in range(60)]
+    voters = [f"old bolt , {address()}" for _ in range(80)] + [donors[7][:40] + donors[7][44:]]
+    one_by_one = []
+    whole = match.lcs_lengths
+    monkeypatch.setattr(match, "lcs_lengths", lambda *args: one_by_one.append(len(args[2])) or whole(*args))
+    d = pd.DataFrame({"donor": donors, "block": "old "})
+    v = pd.DataFrame({"voter": voters, "voter_id": [f"{i:02d}" for i in range(len(voters))], "block": "old "})
+    tile = match._best_of_tile(70, 8, 4, None)
+    got = tile(d, v)
+    assert list(got[["donor", "voter", "level", "score"]].itertuples(index=False, name=None)) == [(donors[7], voters[80], 8, 97)]
+    assert sum(one_by_one) < 100
+    # what is known is kept to: an equal pair is found again, a better one would be, a lesser one is not
+    for level, score, rows in ((8, 97, 1), (5, 99, 1), (8, 98, 0)):
+        known = d.assign(known_level=[level if t == donors[7] else None for t in donors], known_score=[score if t == donors[7] else None for t in donors])
+        assert len(tile(known, v)) == rows
+
+
+@pytest.mark.parametrize("letters, longest", [("ab c", 200), ("abcdefgh", 90), ("é😀x", 10)])
+def test_bounds_of_full_products(letters, longest):
+    rng = random.Random(longest)
+    word = lambda: "qq" + "".join(rng.choice(letters) for _ in range(rng.randint(0, longest)))
+    one, other = [word() for _ in range(30)] + ["qq"], [word() for _ in range(40)] + ["qqq"]
+    bound = similarity.lcs_bounds(similarity.encode(one)[0], similarity.encode(other)[0], 2)
+    exact = np.array([[slow_lcs(a, b) for b in other] for a in one])
+    assert (bound >= exact).all() and (bound - exact).max() <= similarity.SPARE
+    some = similarity.lcs_bounds(similarity.encode(one)[0], similarity.encode(other)[0], 2, longest // 2)
+    assert (some >= exact).all() and (some[bound >= longest // 2] == bound[bound >= longest // 2]).all()
