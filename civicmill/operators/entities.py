@@ -5,8 +5,11 @@ from collections import Counter
 
 import ahocorasick
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from civicmill.operators.lookup import single_valued
 from civicmill.operators.sizes import is_small, small_side
@@ -14,6 +17,8 @@ from civicmill.operators.sizes import is_small, small_side
 MIN_SALIENCE = 0.001
 # Up to here looking for each keyword in the JVM is as fast as one automaton in Python.
 FEW_KEYWORDS = 50
+# Texts whose entities are held as Python values at once.
+SLICE_ROWS, SLICE_BYTES = 256, 1 << 20
 SENTENCE_END = r"[.!?\n]+"
 BETWEEN_WORDS = r"[^\p{L}\p{N}']+"
 SENTENCES = re.compile(SENTENCE_END)
@@ -60,6 +65,20 @@ def _entities(text, known, firsts, longest, min_salience):
     return sorted((r for r in rows if r[1] > min_salience), key=lambda r: (-r[1], r[0]))
 
 
+def _scored_slices(texts, score):
+    """Entities of an Arrow array of texts; only a slice of them is held in Python at a time."""
+    kind, made, start = to_arrow_schema(T.StructType([T.StructField("entities", ENTITIES)])).types[0], [], 0
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    while start < len(texts):
+        held = sizes[start:start + SLICE_ROWS].cumsum()
+        stop = start + max(int(held.searchsorted(SLICE_BYTES, side="right")), 1)
+        made.append(pa.array([
+            [dict(zip(ENTITIES.elementType.names, e)) for e in score(t.as_py() or "")] for t in texts[start:stop]
+        ], kind))
+        start = stop
+    return pa.concat_arrays(made) if made else pa.array([], kind)
+
+
 def entity_sentiment(articles, gazetteer, lexicon, text="text", longest=1, min_salience=MIN_SALIENCE):
     """Articles with text, plus ``entities``: their scored entities, most salient first.
 
@@ -79,9 +98,9 @@ def entity_sentiment(articles, gazetteer, lexicon, text="text", longest=1, min_s
     rows = {r["word"]: (r["name"], r["wikipedia_url"], r["polarity"]) for r in words.collect()}
     shared = articles.sparkSession.sparkContext.broadcast((rows, {word.split(" ")[0] for word in rows}))
 
-    @F.pandas_udf(ENTITIES)
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([_entities(t or "", *shared.value, longest, min_salience) for t in texts], dtype=object)
+    @F.arrow_udf(ENTITIES)
+    def score(texts: pa.Array) -> pa.Array:
+        return _scored_slices(texts, lambda t: _entities(t, *shared.value, longest, min_salience))
 
     # Spark would copy a deterministic function into the filter that unnesting implies, and run it twice.
     once = score.asNondeterministic()

@@ -5,6 +5,7 @@ from datetime import date
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -300,3 +301,18 @@ def test_bounds_of_full_products(letters, longest):
     assert (bound >= exact).all() and (bound - exact).max() <= similarity.SPARE
     some = similarity.lcs_bounds(similarity.encode(one)[0], similarity.encode(other)[0], 2, longest // 2)
     assert (some >= exact).all() and (some[bound >= longest // 2] == bound[bound >= longest // 2]).all()
+
+
+def test_entities_are_made_slice_by_slice(monkeypatch):
+    """Only a slice of a batch is held as Python values, bounded by rows and by bytes."""
+    texts = ["bo"] * 7 + [None, "", "é" * 40, "bo bo", "x" * 100, "bo"]
+    sizes = []
+    made = entities.pa.array
+    monkeypatch.setattr(entities, "pa", type("Noted", (), {
+        "array": staticmethod(lambda v, kind=None: sizes.append(len(v)) or made(v, kind)), "concat_arrays": staticmethod(pa.concat_arrays)}))
+    monkeypatch.setattr(entities, "SLICE_ROWS", 4)
+    monkeypatch.setattr(entities, "SLICE_BYTES", 50)
+    score = lambda t: [(t, 1.0, 0.5, 0.25, None)] * t.count("bo")
+    got = entities._scored_slices(made(texts, pa.string()), score).to_pylist()
+    assert [[tuple(e.values()) for e in row] for row in got] == [score(t or "") for t in texts]
+    assert sizes == [4, 4, 1, 1, 1, 1, 1] and entities._scored_slices(made([], pa.string()), score).to_pylist() == []
