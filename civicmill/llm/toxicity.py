@@ -12,6 +12,8 @@ by the log odds at first and by the network itself later, and at other windows o
 Log odds for training come from the other folds of the sample.
 """
 
+import itertools
+
 import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +28,8 @@ MAX_CHARS = 40_000          # longer documents are scored, but not learned from
 THRESHOLD = 0.3
 GRAMS = range(4, 8)
 WORDS_KEPT = 200_000        # words whose inputs a worker remembers
-AT_ONCE = 512               # windows per matrix product
+PRODUCT = 512               # windows per matrix product; another number would round otherwise
+AT_ONCE = 4 * PRODUCT       # windows that go through the steps together
 SCORED_AT_ONCE = 8192       # windows held as rows of words
 STATIC = 4
 FOLDS = 4
@@ -179,38 +182,67 @@ def both_ways(model):
     return u.reshape(6 * HIDDEN, 2 * HIDDEN)
 
 
+def projected(inputs, model):
+    """[6H, words]: inputs times wx.  A sigmoid halves what it is given, so the rows of gates are halved here, which changes no bit."""
+    rows = (inputs @ model["wx"] + model["b"]).astype(np.float32)
+    half = np.tile(np.repeat(np.array([0.5, 0.5, 1], np.float32), HIDDEN), 2)
+    return np.ascontiguousarray((rows * half).T)
+
+
 def window_logits(table, ids, model):
-    """Logits of windows; ``ids`` is [B, T] rows of ``table`` (inputs times wx), -1 where there is no word.
+    """Logits of windows; ``ids`` is [B, T] columns of ``table`` (as of ``projected``), -1 where there is no word.
 
     What ``one_way`` and ``pooled`` compute, with the windows in the last axis, so that each step works on long rows.
     """
     logits = np.empty(len(ids), np.float32)
     u, att = both_ways(model), np.ascontiguousarray(model["att"].T)
+    u[:4 * HIDDEN] *= 0.5
+    forward, backward = table.reshape(2, 3 * HIDDEN, -1)
     for at in range(0, len(ids), AT_ONCE):
         part = ids[at:at + AT_ONCE].T
         steps, batch = part.shape
         seen = part >= 0
         whole = bool(seen.all())
-        # [T, direction, update/reset/candidate, H, B]
-        projected = np.ascontiguousarray(table[part].transpose(0, 2, 1)).reshape(steps, 2, 3, HIDDEN, batch)
+        # [update/reset/candidate, direction, H, T, B]; the backward half of a step is that of the step it meets
+        given = np.empty((3, 2, HIDDEN, steps, batch), np.float32)
+        given[:, 0] = np.take(forward, part, axis=1, mode="clip").reshape(3, HIDDEN, steps, batch)
+        given[:, 1] = np.take(backward, part[::-1], axis=1, mode="clip").reshape(3, HIDDEN, steps, batch)
+        given = given.reshape(6 * HIDDEN, steps, batch)
         states = np.empty((steps, 2 * HIDDEN, batch), np.float32)
         h = np.zeros((2 * HIDDEN, batch), np.float32)
-        given = np.empty((3, 2, HIDDEN, batch), np.float32)
+        recurrent = np.empty((6 * HIDDEN, batch), np.float32)
         for t in range(steps):
             back = steps - 1 - t
-            given[:, 0], given[:, 1] = projected[t, 0], projected[back, 1]
-            update, reset, candidate = given.reshape(3, 2 * HIDDEN, batch)
-            recurrent = (u @ h).reshape(3, 2 * HIDDEN, batch)
-            move = 1 - sigmoid(update + recurrent[0])
+            for k in range(0, batch, PRODUCT):
+                np.matmul(u, h[:, k:k + PRODUCT], out=recurrent[:, k:k + PRODUCT])
+            gates, candidate = recurrent[:4 * HIDDEN], recurrent[4 * HIDDEN:]
+            gates += given[:4 * HIDDEN, t]
+            np.tanh(gates, out=gates)
+            gates *= 0.5
+            gates += 0.5
+            move, reset = gates[:2 * HIDDEN], gates[2 * HIDDEN:]
+            np.subtract(1, move, out=move)
             if not whole:
                 move[:HIDDEN] *= seen[t]
                 move[HIDDEN:] *= seen[back]
-            h = h + move * (np.tanh(candidate + sigmoid(reset + recurrent[1]) * recurrent[2]) - h)
+            candidate *= reset
+            candidate += given[4 * HIDDEN:, t]
+            np.tanh(candidate, out=candidate)
+            candidate -= h
+            candidate *= move
+            h += candidate
             states[t, :HIDDEN], states[back, HIDDEN:] = h[:HIDDEN], h[HIDDEN:]
-        weight = np.where(seen, model["query"] @ np.tanh(att @ states), -30.0)
-        weight = np.exp(weight - weight.max(0))
+        hidden = np.empty_like(states)
+        for k in range(0, batch, PRODUCT):
+            np.matmul(att, states[:, :, k:k + PRODUCT], out=hidden[:, :, k:k + PRODUCT])
+        weight = model["query"] @ np.tanh(hidden, out=hidden)
+        if not whole:
+            weight = np.where(seen, weight, -30.0)
+        weight -= weight.max(0)
+        np.exp(weight, out=weight)
         weight /= weight.sum(0)
-        logits[at:at + AT_ONCE] = (weight * (model["out"] @ states)).sum(0) + model["bias"][0]
+        weight *= model["out"] @ states
+        logits[at:at + AT_ONCE] = weight.sum(0) + model["bias"][0]
     return logits
 
 
@@ -295,7 +327,7 @@ def train(texts, labels, rounds=3, steps=250, seed=11):
 
     def table_of(f):
         inputs = np.hstack([static[f], embeddings(hashes, starts, count, model)])
-        return (inputs @ model["wx"] + model["b"]).astype(np.float32)
+        return projected(inputs, model)
 
     firsts = [windows(len(d)) for d in docs]
     ids = [window_rows(d, f) for d, f in zip(docs, firsts)]
@@ -382,26 +414,29 @@ class Scorer:
 
     def __init__(self, model, most=WORDS_KEPT):
         self.model, self.most = model, most
-        self.known, self.table = {}, np.empty((most, 6 * HIDDEN), np.float32)
+        self.known, self.table = {}, np.zeros((6 * HIDDEN, max(1, most)), np.float32)  # a word to point at, if there is no word
 
     def rows(self, docs):
-        """(table of the distinct chunks of ``docs``, rows of it for each document)."""
-        known, places = self.known, {}
+        """(table of the projected inputs of words, columns of it for each document).
+
+        The words beyond the number remembered are put behind the others, for this call only.
+        """
+        known, fresh = self.known, {}
         for chunks in docs:
-            places.update(dict.fromkeys(chunks))
-        places = dict(zip(places, range(len(places))))
-        table = np.zeros((max(1, len(places)), 6 * HIDDEN), np.float32)     # a row to point at, if there is no word
-        found = np.fromiter((known.get(c, -1) for c in places), np.int64, len(places))
-        fresh, old = np.flatnonzero(found < 0), np.flatnonzero(found >= 0)
-        table[old] = self.table[found[old]]
-        names = [c for c in places if c not in known]
-        for i in range(0, len(names), 20_000):
-            inputs = word_inputs([normal(c) for c in names[i:i + 20_000]], self.model["odds"], self.model)
-            table[fresh[i:i + 20_000]] = inputs @ self.model["wx"] + self.model["b"]
-        at, room = len(known), self.most - len(known)
-        self.table[at:at + len(fresh[:room])] = table[fresh[:room]]
+            fresh.update(dict.fromkeys(itertools.filterfalse(known.__contains__, chunks)))
+        if not fresh:
+            return self.table, [np.fromiter(map(known.__getitem__, chunks), np.int32, len(chunks)) for chunks in docs]
+        names, at = list(fresh), len(known)
+        inputs = [word_inputs([normal(c) for c in names[i:i + 20_000]], self.model["odds"], self.model) for i in range(0, len(names), 20_000)]
+        made = np.concatenate([projected(i, self.model) for i in inputs], axis=1)
+        room = self.most - at
+        self.table[:, at:min(at + len(names), self.most)] = made[:, :room]
         known.update(zip(names[:room], range(at, self.most)))
-        return table, [np.fromiter(map(places.__getitem__, chunks), np.int32, len(chunks)) for chunks in docs]
+        table = self.table
+        if len(names) > room:
+            place = dict(zip(names[room:], range(table.shape[1], table.shape[1] + len(names) - room)))
+            table, known = np.concatenate([table, made[:, room:]], axis=1), known | place
+        return table, [np.fromiter(map(known.__getitem__, chunks), np.int32, len(chunks)) for chunks in docs]
 
     def score(self, texts):
         """A probability for each text."""

@@ -216,6 +216,9 @@ def test_toxicity_scores_are_those_of_the_plain_network(spark):
         assert np.allclose(scorer.score(texts), expected, atol=1e-4)
         assert np.allclose([scorer.score([t])[0] for t in texts], expected, atol=1e-4)
         assert len(scorer.known) <= most
+    # what is remembered is read in place, not copied for every few hundred texts
+    scorer = toxicity.Scorer(model, 100_000)
+    assert all(scorer.rows([t.split() for t in texts if t])[0] is scorer.table for _ in range(2))
     assert toxicity.train(["", " "], [0, 1]) is None
 
 
