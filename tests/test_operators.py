@@ -1,6 +1,7 @@
 """Joins, merge, nesting, history counters, matching and entities against brute force."""
 
 import random
+import re
 from datetime import date
 
 import numpy as np
@@ -270,6 +271,41 @@ def test_donors_are_sent_only_where_their_length_can_match(spark):
     assert sides["donor"].where(F.length("donor") == 900).count() == 0
 
 
+def test_blocks_without_a_new_pair_are_left_out(spark):
+    """A pass over blocks whose strings all share what the pass before looked at does nothing."""
+    d = spark.createDataFrame([("red ring 0123",), ("red bolt 4567",), ("bluebell 89",)], "donor string")
+    v = spark.createDataFrame([("red ring 0124", 1), ("red bolt 45", 2), ("red", 3), ("bluebell 88", 4)], "voter string, voter_id long")
+    longer = v.where("voter_id != 3")
+    assert match._one_pass(d, longer, 1, 4, 70, 8, 2) is None
+    # "red" has less than four characters, so its pairs are new in the block "r", and in no other
+    lengths = match._lengths(*(df.withColumn("block", F.substring(n, 1, 1)) for df, n in ((d, "donor"), (v, "voter"))), 4)
+    got = sorted(tuple(r) for r in lengths.select("block", "length", "donors", "voters", "donors_before", "voters_before").collect())
+    assert got == [("r", 3, 0, 1, 0, 0), ("r", 11, 0, 1, 0, 1), ("r", 13, 2, 1, 0, 2)]
+    settled = d.limit(0).selectExpr("donor", "donor AS voter", "1L AS voter_id", "1 AS level", "70L AS score")
+    near = spark.createDataFrame([("rex bolt 4567", 7)], v.schema)
+    got = match._one_pass(d, longer.unionByName(near), 1, 4, 70, 8, 2, settled).collect()
+    assert [tuple(r) for r in got] == [("red bolt 4567", "rex bolt 4567", 7, 2, 92)]
+
+
+def test_a_pass_takes_few_jobs(spark):
+    """What the driver holds grows with the jobs, joins and tasks of a pass, not with the rows."""
+    rng = random.Random(6)
+    word = lambda n: "S" + "".join(rng.choice("ABCDE ") for _ in range(n))
+    d = spark.createDataFrame([(word(n % 9 + 9),) for n in range(300)], "donor string")
+    v = spark.createDataFrame([(word(n % 9 + 9), n) for n in range(300)], "voter string, voter_id long")
+    context = spark.sparkContext
+    context.setJobGroup("one pass", "one pass")
+    try:
+        found = match._one_pass(d, v, 1, None, 70, 8, 8)
+        jobs = len(context.statusTracker().getJobIdsForGroup("one pass"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert jobs <= 12 and text.count("Join") == 2
+    # 2,812 tasks with tiles of 8 strings; larger tiles make fewer
+    assert max(int(n) for n in re.findall(r"hashpartitioning\(slot#.*?, (\d+)\), REPARTITION_BY_NUM", text)) <= 1000
+
+
 def test_a_tile_without_matches_is_ruled_out_by_products(monkeypatch):
     """Strings like those of one block: alike in their names, with other addresses; few pairs come to be scored one by one."""
     rng = random.Random(4)
